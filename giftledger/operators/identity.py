@@ -7,9 +7,9 @@ its own. The donor id is the MD5 of the key.
 How the plan behaves on large, skewed input:
 
 * Rule-1 rows, nearly all of the data, are keyed in place and never shuffled.
-* The Rule-2 lookup is aggregated to one row per name and address before the join, with partial aggregation on the
-  map side, so a name that a third of all rows carry sends one row per map task. All keys of one name differ in the
-  ZIP alone, so it carries the smallest (and largest) ZIP instead of whole keys.
+* The Rule-2 lookup is aggregated before the join, with hash aggregation on the map side, so a name that a third
+  of all rows carry sends one row per map task. All keys of one name differ in the ZIP alone, so it carries the
+  smallest (and largest) ZIP instead of whole keys.
 * Only the rows without a ZIP are joined. The join key is a struct, which keeps the planner from reusing the
   aggregate's partitioning: each side of the join then has an exchange of its own, the shape in which adaptive
   execution splits a skewed partition. A small lookup is broadcast by Spark, by measured size.
@@ -17,7 +17,7 @@ How the plan behaves on large, skewed input:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DIM_DONORS, LOAD_DATE, UNRESOLVED
@@ -63,33 +63,64 @@ def rule1_keys(staged: DataFrame, zero_zip_is_null: bool = False) -> DataFrame:
     )
 
 
+def _scope_columns(scope: str) -> list[str]:
+    return [NAME, ADDRESS] if scope == "all" else [LOAD_DATE, NAME, ADDRESS]
+
+
+def _zip_text(code: Column) -> Column:
+    return F.lpad(code.cast("string"), 5, "0")
+
+
 def rule2_lookup(staged: DataFrame, zero_zip_is_null: bool = False, scope: str = "date") -> DataFrame:
-    """Smallest and largest ZIP of the Rule-1 records per name and address (and load date)."""
-    by = [NAME, ADDRESS] if scope == "all" else [LOAD_DATE, NAME, ADDRESS]
+    """Smallest and largest ZIP of the Rule-1 records per name and address (and load date).
+
+    A minimum of strings would make Spark sort every row before aggregating; a minimum of integers is hash-aggregated.
+    Five-digit ZIPs go through as integers, which sort the same. A ZIP that is anything else (digits of another
+    script, say) becomes part of the grouping, so a key has one row plus one per such ZIP.
+    """
+    by = _scope_columns(scope)
+    code = F.col(ZIP).try_cast("int")
+    five_digits = F.coalesce((code >= 0) & (_zip_text(code) == F.col(ZIP)), F.lit(False))
     return (
         staged.where(has_zip(zero_zip_is_null) & _has_address() & F.col(NAME).isNotNull())
-        .groupBy(*by)
-        .agg(F.min(ZIP).alias("first_zip"), F.max(ZIP).alias("last_zip"))
-        .select(F.struct(*by).alias("lookup_key"), "first_zip", "last_zip")
+        .select(
+            *by,
+            F.when(five_digits, code).alias("zip_code"),
+            F.when(~five_digits, F.col(ZIP)).alias("other_zip"),
+        )
+        .groupBy(*by, "other_zip")
+        .agg(F.min("zip_code").alias("low"), F.max("zip_code").alias("high"))
+        .select(
+            F.struct(*by).alias("lookup_key"),
+            F.coalesce("other_zip", _zip_text(F.col("low"))).alias("first_zip"),
+            F.coalesce("other_zip", _zip_text(F.col("high"))).alias("last_zip"),
+        )
     )
 
 
 def rule2_keys(
     staged: DataFrame, mode: str = "inherit_min", zero_zip_is_null: bool = False, scope: str = "date"
 ) -> DataFrame:
-    by = [NAME, ADDRESS] if scope == "all" else [LOAD_DATE, NAME, ADDRESS]
-    # Identical rows collapse to one, as a grouping by all of these columns would make them.
-    records = staged.select(*SLICE).where(no_zip(zero_zip_is_null)).dropDuplicates(list(SLICE))
-    joined = records.withColumn("record_key", F.struct(*by)).join(
-        rule2_lookup(staged, zero_zip_is_null, scope), F.col("record_key") == F.col("lookup_key"), "left"
+    records = staged.select(*SLICE).where(no_zip(zero_zip_is_null))
+    found_zips = (
+        records.withColumn("record_key", F.struct(*_scope_columns(scope)))
+        .join(
+            rule2_lookup(staged, zero_zip_is_null, scope), F.col("record_key") == F.col("lookup_key"), "left"
+        )
+        # One row per record; identical records collapse to one.
+        .groupBy(*SLICE)
+        .agg(F.min("first_zip").alias("first_zip"), F.max("last_zip").alias("last_zip"))
     )
     found = F.col("first_zip").isNotNull()
-    several = found & (F.col("first_zip") != F.col("last_zip"))
-    conflict = several if mode == "route" else F.lit(False)
-    own = F.when(_has_address(), _key("addr", ADDRESS)).otherwise(_key("id", "sub_id"))
-    inherited = F.coalesce(_key("zip", "first_zip"), own)
-    key = F.when(several, _key("id", "sub_id")).otherwise(inherited) if mode == "route" else inherited
-    return joined.select(
+    inherited = F.coalesce(
+        _key("zip", "first_zip"), F.when(_has_address(), _key("addr", ADDRESS)).otherwise(_key("id", "sub_id"))
+    )
+    if mode == "route":
+        conflict = found & (F.col("first_zip") != F.col("last_zip"))
+        key = F.when(conflict, _key("id", "sub_id")).otherwise(inherited)
+    else:
+        conflict, key = F.lit(False), inherited
+    return found_zips.select(
         *SLICE,
         key.alias("canonical_key"),
         F.when(found | _has_address(), "rule2").otherwise("no_match").alias("match_rule"),
@@ -135,8 +166,6 @@ def match_rule_counts(dim: DataFrame) -> DataFrame:
 
 def match_rule_distribution(dim: DataFrame) -> DataFrame:
     """Records per match rule with their share in percent, largest first."""
-    from pyspark.sql import Window
-
     counts = dim.groupBy("match_rule").agg(F.count("*").alias("cnt"))
     # The window sees one row per match rule, never the data.
     total = F.sum("cnt").over(Window.partitionBy())

@@ -30,7 +30,10 @@ def _reader(spark: SparkSession, columns: list[str], encoding: str, multi_line:
 
 def _no_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     """An empty field stays an empty string (Spark reads it as null)."""
-    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns], MALFORMED)
+    texts = {c: F.coalesce(F.col(c), F.lit("")) for c in columns}
+    # Spark refuses a plan that needs nothing but the malformed lines, so they are tied to a data column.
+    malformed = F.when(F.length(texts[columns[0]]) >= 0, F.col(MALFORMED)).alias(MALFORMED)
+    return df.select(*[text.alias(c) for c, text in texts.items()], malformed)
 
 
 def header_names(spark: SparkSession, header_path: str, sep: str = ",") -> list[str]:
@@ -85,11 +88,13 @@ def require_well_formed(df: DataFrame) -> DataFrame:
     )
 
 
-def write_delimited(df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8", mode: str = "error") -> None:
-    """Pipe-delimited text; nulls and empty strings both become an empty field, and blanks are kept as they are."""
+def write_delimited(
+    df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8", mode: str = "error", sep: str = PIPE
+) -> None:
+    """Delimited text; nulls and empty strings both become an empty field, and blanks are kept as they are."""
     (
         df.write.mode(mode)
-        .option("sep", PIPE)
+        .option("sep", sep)
         .option("header", header)
         .option("encoding", encoding)
         .option("escape", '"')
