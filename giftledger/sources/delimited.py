@@ -23,6 +23,7 @@ def _reader(spark: SparkSession, columns: list[str], encoding: str, multi_line:
         .option("encoding", encoding)
         .option("escape", '"')  # a doubled quote inside a quoted field
         .option("multiLine", multi_line)  # quoted line breaks; makes a file unsplittable, so off by default
+        .option("columnPruning", False)  # else a query of few columns would miss rows with a wrong field count
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
     )
@@ -52,8 +53,8 @@ def read_headerless(
     """Pipe-delimited text without a header line; names come from ``columns`` or from a header file.
 
     The result has one extra column, ``_corrupt_record``: the source line of a row whose field count is wrong, else
-    null. Keep it in the plan until the rows are split (`good_rows`, `malformed_rows`); while it is there Spark
-    parses whole lines, so a wrong field count is always seen.
+    null. `good_rows` and `malformed_rows` split the two. Lines are parsed in full whichever columns a query uses,
+    so a wrong field count is always seen.
     """
     if columns is None:
         if header_path is None:

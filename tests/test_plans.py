@@ -1,0 +1,141 @@
+"""The shape of the physical plans: what is pushed down, what is shuffled, and what must not appear."""
+
+import pytest
+from giftledger.operators import identity as I
+from giftledger.operators import mart as M
+from giftledger.operators import staging as S
+from giftledger.operators import upsert as U
+from giftledger.plans.queries import QUERIES
+from giftledger.schemas import DIM_DONORS, STAGING
+from giftledger.sources import tables as tb
+from giftledger.sources.testdata import contribution_records
+from pyspark.sql import functions as F
+from samples import DAY, staged_rows
+
+SF = "/root/testdata/sf0.001"
+NEVER = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonRDD"]
+# Writers show only what is read back; their jobs are covered by the operators they are made of.
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The plan after adaptive execution."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan(df)
+
+
+@pytest.fixture
+def settings(spark):
+    changed = {}
+
+    def change(**values):
+        for key, value in values.items():
+            key = "spark.sql." + key.replace("__", ".")
+            changed.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_query_uses_python_rows_or_cross_joins(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert not [word for word in NEVER if word in text]
+
+
+def test_staging_is_one_generated_stage_without_a_shuffle(spark, tmp_path):
+    raw = S.enforce_raw_schema(contribution_records(spark, SF))
+    raw.write.partitionBy("_load_date").parquet(str(tmp_path / "raw"))
+    from giftledger.schemas import RAW
+
+    staged = S.build_staging(tb.read_partition(spark, str(tmp_path / "raw"), RAW, DAY))
+    text = plan(staged)
+    assert "Exchange" not in text
+    assert text.count("Project") == 1 and "*(1) Project" in text
+    assert "EqualTo(ENTITY_TP,IND)" in text and "PartitionFilters: [isnotnull(_load_date" in text
+    assert "MEMO_TEXT" not in text.split("ReadSchema")[1]
+
+
+@pytest.fixture
+def staged_table(spark, tmp_path):
+    path = str(tmp_path / "staging")
+    S.build_staging(contribution_records(spark, SF)).write.partitionBy("_load_date").parquet(path)
+    return tb.read_table(spark, path, STAGING)
+
+
+def test_identity_shuffles_only_the_lookup_and_the_records_without_zip(spark, staged_table, settings):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    text = plan(I.resolve_identity(staged_table))
+    assert text.count("Exchange") == 4  # lookup aggregate, two join sides, final grouping
+    rule1 = text.split("Union")[1].split(":- ")[1].split("+- *")[0]
+    assert "Exchange" not in rule1
+    assert "Not(EqualTo(zip_normalized,))" in text and "Or(IsNull(zip_normalized),EqualTo(zip_normalized,))" in text
+    assert "ReadSchema: struct<donor_name_normalized:string,donor_address_normalized:string,zip_normalized:string>" in text
+    lookup = I.rule2_lookup(staged_table)
+    assert "HashAggregate" in plan(lookup) and "SortAggregate" not in plan(lookup)
+
+
+def test_a_hot_name_is_split_over_tasks(spark, tmp_path, settings):
+    """A third of the records without ZIP carry one name: adaptive execution splits their partition."""
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__advisoryPartitionSizeInBytes="20k",
+        shuffle__partitions="16",
+    )
+    n = 60_000
+    hot = F.col("id") % 3 == 0
+    rows = spark.range(n, numPartitions=8).select(
+        F.col("id").cast("string").alias("sub_id"),
+        F.when(hot, "hot name").otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("donor_name_normalized"),
+        F.lit("x st").alias("donor_address_normalized"),
+        F.when(F.col("id") % 2 == 0, "").otherwise(F.lpad((F.col("id") % 999).cast("string"), 5, "0")).alias("zip_normalized"),
+        F.lit(DAY).alias("_load_date"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    resolved = I.resolve_identity(spark.read.parquet(str(tmp_path / "rows")))
+    text = final_plan(resolved)
+    assert "skew=true" in text
+    linked = resolved.where("donor_name_normalized = 'hot name' and zip_normalized = ''")
+    assert linked.select("donor_id").distinct().count() == 1
+    assert resolved.count() == n
+
+
+def test_a_small_lookup_is_broadcast_by_measured_size(spark, staged_table):
+    assert "BroadcastHashJoin" in final_plan(I.resolve_identity(staged_table))
+
+
+def test_mart_reads_few_columns_and_aggregates_before_the_shuffle(spark, staged_table, tmp_path):
+    path = str(tmp_path / "dim")
+    I.resolve_identity(staged_table).write.partitionBy("_load_date").parquet(path)
+    text = plan(M.build_mart(staged_table, tb.read_table(spark, path, DIM_DONORS), DAY))
+    assert "ReadSchema: struct<donor_id:string,sub_id:string>" in text
+    assert "struct<sub_id:string,contribution_amount:decimal(38,9),contribution_date:date>" in text
+    assert "partial_sum" in text
+
+
+def test_merge_joins_on_the_key_column_alone(spark, staged_table, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    text = plan(U.merge_rows(staged_table, staged_table.where("sub_id > '5'")))
+    assert "LeftAnti" in text
+    assert "ReadSchema: struct<sub_id:string>" in text
+
+
+def test_point_lookup_reaches_the_scan(spark, staged_table, tmp_path):
+    path = str(tmp_path / "dim")
+    I.resolve_identity(staged_table).write.partitionBy("_load_date").parquet(path)
+    text = plan(I.find_donor(tb.read_table(spark, path, DIM_DONORS), "12", DAY))
+    assert "EqualTo(sub_id,12)" in text and "PartitionFilters: [isnotnull(_load_date" in text
+
+
+def test_odd_rows_lookup_stays_exact_in_any_scope(spark):
+    rows = [("a", "n", "x", "11111"), ("b", "n", "x", "")]
+    for scope in I.SCOPES:
+        assert I.resolve_identity(staged_rows(spark, rows), scope=scope).select("donor_id").distinct().count() == 1
