@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes of bytecode; beyond that, smaller generated methods are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

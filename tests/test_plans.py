@@ -35,12 +35,12 @@ def settings(spark):
     def change(**values):
         for key, value in values.items():
             key = "spark.sql." + key.replace("__", ".")
-            changed.setdefault(key, spark.conf.get(key))
+            changed.setdefault(key, spark.conf.get(key, None))
             spark.conf.set(key, value)
 
     yield change
     for key, value in changed.items():
-        spark.conf.set(key, value)
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -73,8 +73,7 @@ def test_identity_shuffles_only_the_lookup_and_the_records_without_zip(spark, st
     settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
     text = plan(I.resolve_identity(staged_table))
     assert text.count("Exchange") == 4  # lookup aggregate, two join sides, final grouping
-    rule1 = text.split("Union")[1].split(":- ")[1].split("+- *")[0]
-    assert "Exchange" not in rule1
+    assert "Exchange" not in plan(I.rule1_keys(staged_table))
     assert "Not(EqualTo(zip_normalized,))" in text and "Or(IsNull(zip_normalized),EqualTo(zip_normalized,))" in text
     assert "ReadSchema: struct<donor_name_normalized:string,donor_address_normalized:string,zip_normalized:string>" in text
     lookup = I.rule2_lookup(staged_table)
@@ -96,7 +95,7 @@ def test_a_hot_name_is_split_over_tasks(spark, tmp_path, settings):
         F.col("id").cast("string").alias("sub_id"),
         F.when(hot, "hot name").otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("donor_name_normalized"),
         F.lit("x st").alias("donor_address_normalized"),
-        F.when(F.col("id") % 2 == 0, "").otherwise(F.lpad((F.col("id") % 999).cast("string"), 5, "0")).alias("zip_normalized"),
+        F.when((F.col("id") % 6 == 0) | (F.col("id") % 40 == 1), "").otherwise(F.lpad((F.col("id") % 999).cast("string"), 5, "0")).alias("zip_normalized"),
         F.lit(DAY).alias("_load_date"),
     )
     rows.write.parquet(str(tmp_path / "rows"))
