@@ -79,23 +79,20 @@ def raw_report(raw: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Row count, blank rates of critical fields, empty rows, and one load date per batch."""
     all_blank = reduce(lambda a, b: a & b, [is_blank(_text(c)) for c in SOURCE_COLUMNS])
     rates = [(c, percent(F.count_if(is_blank(_text(c))), F.count("*"))) for c in limits.null_rates]
+    no_date = F.count_if(F.col(LOAD_DATE).isNull())
+    several_dates = F.when(F.min(LOAD_DATE) != F.max(LOAD_DATE), 1).otherwise(0)
     return _report(
         raw,
         [
             _row_count("raw", limits),
             *[Check(f"raw_null_rate_{c}", rate, rate <= limits.null_rates[c]) for c, rate in rates],
             _zero("raw_empty_rows", F.count_if(all_blank)),
-            _zero("raw_null_load_date", F.count_if(F.col(LOAD_DATE).isNull())),
+            _zero("raw_null_load_date", no_date),
+            _zero("raw_single_load_date", several_dates),
         ],
     )
 
 
-def single_load_date_report(raw: DataFrame) -> DataFrame:
-    """A batch carries one load date (smallest equals largest, none null)."""
-    dates = F.count_if(F.col(LOAD_DATE).isNull()) + F.when(F.min(LOAD_DATE) != F.max(LOAD_DATE), 1).otherwise(0)
-    return _report(raw, [_zero("raw_single_load_date", dates)])
-
-
 def unique_key_report(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows with a null key plus keys that occur more than once."""
     violations = F.sum(F.col("null_keys") + F.col("repeated_keys"))

@@ -152,10 +152,6 @@ def run_fixture_identity(spark: SparkSession, path: str, execution_date: date, d
     return run_identity(spark, staged, dim_table, unresolved_table)
 
 
-def raw_gate(raw: DataFrame, limits: Q.Limits) -> DataFrame:
-    return Q.combine(Q.raw_report(raw, limits), Q.single_load_date_report(raw))
-
-
 def staging_gate(raw: DataFrame, staged: DataFrame, limits: Q.Limits) -> DataFrame:
     return Q.combine(
         Q.staging_report(staged, limits),
@@ -216,7 +212,7 @@ def run_day(
 
     raw_rows = step(INGEST, ingest)
     raw = tb.read_partition(spark, warehouse.raw, RAW, execution_date)
-    gate(CHECK_RAW, raw_rows, raw, RAW, raw_gate(raw, limits))
+    gate(CHECK_RAW, raw_rows, raw, RAW, Q.raw_report(raw, limits))
 
     def stage():
         done = run_staging(spark, warehouse.raw, warehouse.staging, execution_date, options.lenient_dates)

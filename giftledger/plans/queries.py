@@ -61,6 +61,22 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.build_staging(_raw(spark, sf_dir), amount_type=MONEY)
 
 
+def _stored(df: DataFrame, label: str, partitioned: bool = True) -> DataFrame:
+    """``df`` as a scratch table, the way the jobs see their inputs: computed once, then scanned by column.
+
+    Identity, mart and gates each pass over their input several times; without this every pass would repeat the
+    joins and the normalization behind it.
+    """
+    path = scratch_path(df.sparkSession, label)
+    writer = df.write.partitionBy(LOAD_DATE) if partitioned else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _staging_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(S.build_staging(_raw(spark, sf_dir)), "staging")
+
+
 def _public(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(LOAD_DATE, "load_date")
 
@@ -280,37 +296,37 @@ def rule1_keys(spark, sf_dir):
 
 @query
 def rule2_keys(spark, sf_dir):
-    return I.rule2_keys(_staged(spark, sf_dir)).select("sub_id", "canonical_key", "match_rule")
+    return I.rule2_keys(_staging_table(spark, sf_dir)).select("sub_id", "canonical_key", "match_rule")
 
 
 @query
 def identity_resolution(spark, sf_dir):
-    return _public(I.resolve_identity(_staged(spark, sf_dir)))
+    return _public(I.resolve_identity(_staging_table(spark, sf_dir)))
 
 
 @query
 def identity_all_dates(spark, sf_dir):
     """Rule-2 candidates looked up over all load dates at once."""
-    return _public(I.resolve_identity(_staged(spark, sf_dir), scope="all"))
+    return _public(I.resolve_identity(_staging_table(spark, sf_dir), scope="all"))
 
 
 @query
 def identity_route_conflicts(spark, sf_dir):
-    dim = I.resolve_identity(_staged(spark, sf_dir), mode="route")
+    dim = I.resolve_identity(_staging_table(spark, sf_dir), mode="route")
     return I.unresolved_rows(dim).select("sub_id", "donor_id", "conflict_reason")
 
 
 @query
 def identity_zero_zip_null(spark, sf_dir):
-    dim = I.resolve_identity(_staged(spark, sf_dir), zero_zip_is_null=True)
+    dim = I.resolve_identity(_staging_table(spark, sf_dir), zero_zip_is_null=True)
     return dim.select("sub_id", "donor_id", "match_rule")
 
 
 @query
 def dim_upsert(spark, sf_dir):
     """Donor dimension, then the amended filings resolved as a batch of their own and upserted."""
-    dim = I.resolve_identity(_staged(spark, sf_dir))
-    resent = I.resolve_identity(S.build_staging(_amended(spark, sf_dir), amount_type=MONEY))
+    dim = I.resolve_identity(_staging_table(spark, sf_dir))
+    resent = I.resolve_identity(_stored(S.build_staging(_amended(spark, sf_dir)), "resent"))
     return _public(U.merge_rows(dim, resent))
 
 
@@ -319,7 +335,7 @@ def identity_tables(spark, sf_dir):
     """Route mode through stored tables: rows of the dimension, conflicts, and rows of the review table, by day."""
     root = scratch_path(spark, "identity")
     dim_path, review_path = f"{root}/dim_donors", f"{root}/unresolved"
-    R.run_identity(spark, S.build_staging(_raw(spark, sf_dir)), dim_path, review_path, mode="route")
+    R.run_identity(spark, _staging_table(spark, sf_dir), dim_path, review_path, mode="route")
     dim = tb.read_table(spark, dim_path, DIM_DONORS)
     review = tb.read_table(spark, review_path, R.UNRESOLVED)
     flags = dim.select(LOAD_DATE, F.col("identity_conflict").cast("bigint").alias("flag"), F.lit(1).alias("row"))
@@ -345,12 +361,12 @@ def fixture_identity(spark, sf_dir):
 
 @query
 def match_rule_distribution(spark, sf_dir):
-    return I.match_rule_distribution(I.resolve_identity(_staged(spark, sf_dir)))
+    return I.match_rule_distribution(I.resolve_identity(_staging_table(spark, sf_dir)))
 
 
 @query
 def donor_lookup(spark, sf_dir):
-    return I.find_donor(I.resolve_identity(_staged(spark, sf_dir)), LOOKUP_ID, DAYS[0])
+    return I.find_donor(I.resolve_identity(_staging_table(spark, sf_dir)), LOOKUP_ID, DAYS[0])
 
 
 # --- profile ---------------------------------------------------------------------------------------------------
@@ -396,7 +412,7 @@ def blank_zip_rate(spark, sf_dir):
 
 
 def _summary(spark, sf_dir) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    staged = _staging_table(spark, sf_dir)
     return M.donor_summary(staged, I.resolve_identity(staged, scope="all"), MONEY)
 
 
@@ -424,11 +440,11 @@ def lapsed_donors(spark, sf_dir):
 @query
 def quality_report(spark, sf_dir):
     raw, limits = _raw(spark, sf_dir), Q.Limits()
-    staged = S.build_staging(raw)
-    dim = I.resolve_identity(staged, scope="all")
-    mart = M.build_mart(staged, dim, AS_OF)
+    staged = _staging_table(spark, sf_dir)
+    dim = _stored(I.resolve_identity(staged, scope="all"), "dim")
+    mart = _stored(M.build_mart(staged, dim, AS_OF), "mart", partitioned=False)
     return Q.combine(
-        R.raw_gate(raw, limits),
+        Q.raw_report(raw, limits),
         R.staging_gate(raw, staged, limits),
         R.identity_gate(staged, dim, limits),
         R.mart_gate(mart, limits),

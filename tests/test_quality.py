@@ -53,9 +53,9 @@ def test_empty_rows_and_load_dates(spark):
     raw = raw_of(spark, SOURCE_ROWS)
     blank = raw.limit(1).select(*[(F.lit(" ") if c != "TRANSACTION_AMT" else F.lit(None)).cast(RAW[c].dataType).alias(c) for c in SOURCE_COLUMNS], LOAD_DATE)
     assert metrics(Q.raw_report(raw.unionByName(blank)))["raw_empty_rows"] == (1.0, False)
-    assert metrics(Q.single_load_date_report(raw))["raw_single_load_date"] == (0.0, True)
+    assert metrics(Q.raw_report(raw))["raw_single_load_date"] == (0.0, True)
     other = raw.withColumn(LOAD_DATE, F.lit(date(2000, 1, 1)))
-    assert not metrics(Q.single_load_date_report(raw.unionByName(other)))["raw_single_load_date"][1]
+    assert not metrics(Q.raw_report(raw.unionByName(other)))["raw_single_load_date"][1]
 
 
 def test_staging_report(spark):
