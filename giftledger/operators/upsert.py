@@ -99,8 +99,10 @@ def upsert_table(
     """Upsert ``source`` into the partitioned table at ``path``, rewriting only the partitions it concerns.
 
     Those are the partitions the batch has rows for and those that hold a row the batch replaces, which may lie
-    under another load date. Finding the latter reads the key column alone, within the batch's key range. What
-    comes to the driver is a count per load date.
+    under another load date. Finding the latter reads the key column alone, within the batch's key range. The counts
+    then decide what has to be read in full: a partition whose rows are all replaced (the rerun of a day) is not read,
+    one without a replaced row is carried over as it is, and only the others are joined. What comes to the driver is
+    a count per load date.
     """
     with materialized(source.select(*schema.fieldNames()), "upsert-batch") as batch:
         incoming = {row[LOAD_DATE]: row["n"] for row in batch.groupBy(LOAD_DATE).agg(F.count("*").alias("n")).collect()}
@@ -120,12 +122,19 @@ def upsert_table(
             .agg(F.count("*").alias("n"))
         )
         matched = {row[LOAD_DATE]: row["n"] for row in replaced.collect()}
-        moved_from = [d for d in matched if d not in incoming]
-        held = target.where(F.col(LOAD_DATE).isin(moved_from)).groupBy(LOAD_DATE).agg(F.count("*").alias("n"))
-        emptied = [row[LOAD_DATE] for row in held.collect() if row["n"] == matched[row[LOAD_DATE]]] if moved_from else []
+        held = target.where(F.col(LOAD_DATE).isin(*matched)).groupBy(LOAD_DATE).agg(F.count("*").alias("n"))
+        total = {row[LOAD_DATE]: row["n"] for row in held.collect()} if matched else {}
 
         concerned = sorted(set(incoming) | set(matched))
-        merged = merge_rows(target.where(F.col(LOAD_DATE).isin(concerned)), batch, keys)
-        # Adaptive execution cuts a large load date into several files and joins small ones.
-        rows = replace_partitions(merged.hint("rebalance", F.col(LOAD_DATE)), path, emptied)
+        emptied = [d for d in matched if matched[d] == total[d] and d not in incoming]
+        partly = [d for d in matched if matched[d] < total[d]]
+        kept_whole = [d for d in incoming if d not in matched]
+        merged = batch
+        if partly:
+            merged = merge_rows(target.where(F.col(LOAD_DATE).isin(*partly)), batch, keys)
+        merged = target.where(F.col(LOAD_DATE).isin(*kept_whole)).unionByName(merged) if kept_whole else merged
+        if len(concerned) > 1:
+            # Gather each load date; adaptive execution cuts a large one into several files and joins small ones.
+            merged = merged.hint("rebalance", F.col(LOAD_DATE))
+        rows = replace_partitions(merged, path, emptied)
         return UpsertResult(rows_in, rows, tuple(concerned), tuple(emptied))

@@ -61,6 +61,30 @@ def test_moved_row_leaves_the_rest_of_its_old_partition(spark, tmp_path):
     assert sorted((tmp_path / "t" / "_load_date=2025-01-02").iterdir()) == untouched
 
 
+def test_new_rows_join_a_partition_that_keeps_all_of_its_own(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tb.ensure_table(spark, path, STAGING)
+    U.upsert_table(spark, path, STAGING, staged(spark, ("a", "x", D1), ("b", "x", D2)))
+    U.upsert_table(spark, path, STAGING, staged(spark, ("c", "y", D1)))
+    assert stored(spark, path) == [("a", "x", D1), ("b", "x", D2), ("c", "y", D1)]
+    # All rows of one day replaced, some of another, none of a third, in one batch.
+    U.upsert_table(spark, path, STAGING, staged(spark, ("a", "z", D1), ("c", "z", D2), ("d", "z", D3)))
+    assert stored(spark, path) == [("a", "z", D1), ("b", "x", D2), ("c", "z", D2), ("d", "z", D3)]
+
+
+def test_many_batches_equal_a_dictionary(spark, tmp_path):
+    import random
+
+    rng, path, expected = random.Random(3), str(tmp_path / "t"), {}
+    tb.ensure_table(spark, path, STAGING)
+    for step in range(6):
+        ids = rng.sample(range(12), rng.randrange(1, 9))
+        batch = {f"s{i:02d}": (f"v{step}", rng.choice([D1, D2, D3])) for i in ids}
+        expected.update(batch)
+        U.upsert_table(spark, path, STAGING, staged(spark, *[(k, v, d) for k, (v, d) in batch.items()]))
+        assert stored(spark, path) == sorted((k, v, d) for k, (v, d) in expected.items())
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     tb.ensure_table(spark, path, STAGING)
