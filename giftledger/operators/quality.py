@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import is_blank, percent
-from ..functions.text import WS
 from ..schemas import ALLOWED_TYPES, LOAD_DATE, SOURCE_COLUMNS
 from .staging import INDIVIDUAL
 from .upsert import key_violations
@@ -105,12 +104,15 @@ def staging_report(staged: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.col(c) for c in ("donor_name_normalized", "donor_address_normalized", "zip_normalized")
     )
     length = F.length(zip_code)
+    # Any character but a-z, 0-9 and space, as ranges; Java matches the negated class several times slower.
+    not_name = name.rlike(r"[\x00-\x1f!-/:-`{-\x{10FFFF}]")
+    loose_spaces = name.contains("  ") | name.startswith(" ") | name.endswith(" ")
     return _report(
         staged,
         [
             _row_count("staging", limits),
             _zero("staging_zip_shape", F.count_if(zip_code.isNull() | ~length.isin(0, 5))),
-            _zero("staging_name_shape", F.count_if(name.isNull() | name.rlike(f"[^a-z0-9 ]|^ | $|[{WS}]{{2}}"))),
+            _zero("staging_name_shape", F.count_if(name.isNull() | not_name | loose_spaces)),
             _zero("staging_address_shape", F.count_if(address.isNull() | address.rlike("[A-Z,.]"))),
             _zero("staging_only_individuals", F.count_if(~F.col("entity_type").eqNullSafe(INDIVIDUAL))),
             _zero("staging_null_load_date", F.count_if(F.col(LOAD_DATE).isNull())),

@@ -71,6 +71,12 @@ def test_staging_report(spark):
         got = metrics(Q.staging_report(staged.withColumn(column, F.lit(value))))
         assert [name for name, (_, passed) in got.items() if not passed] == [check]
         assert got[check][0] == 8.0
+    for name in ("a b", "0 z", ""):
+        good = metrics(Q.staging_report(staged.withColumn("donor_name_normalized", F.lit(name))))
+        assert good["staging_name_shape"] == (0.0, True)
+    for name in ("a,b", "a  b", " a", "a ", "A", "a-b", "a\tb", "é", "a`", "a{"):
+        bad = metrics(Q.staging_report(staged.withColumn("donor_name_normalized", F.lit(name))))
+        assert bad["staging_name_shape"] == (8.0, False)
     blank = metrics(Q.staging_report(staged.withColumn("donor_name_normalized", F.lit(""))))
     assert blank["staging_blank_names"] == (8.0, True)
 
