@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, simhash
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
