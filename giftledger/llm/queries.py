@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import decontaminate, mixing, simhash
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
+    "op6_decontaminate": decontaminate.OP6_SQL,
 }
