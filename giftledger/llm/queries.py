@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, simhash
+from . import decontaminate, mixing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op3_quality": quality.op3_quality,
     "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
