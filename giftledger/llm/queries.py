@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality, simhash, toxicity
+from . import decontaminate, mixing, neighbours, quality, simhash, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_nearest_neighbours": neighbours.op2_nearest_neighbours,
     "op3_quality": quality.op3_quality,
     "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
     "op6_decontaminate": decontaminate.op6_decontaminate,
