@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neighbours, quality, simhash, toxicity
+from . import decontaminate, mixing, neighbours, quality, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
