@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neighbours, quality, secrets, simhash, toxicity
+from . import decontaminate, lempel_ziv, mixing, neighbours, quality, secrets, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_nearest_neighbours": neighbours.op2_nearest_neighbours,
     "op3_quality": quality.op3_quality,
+    "op4_suffix_dedup": suffixes.op4_suffix_dedup,
     "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_lempel_ziv_dedup": lempel_ziv.op7_lempel_ziv_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
