@@ -16,6 +16,9 @@ from ..sources.workspace import delete_path, scratch_path
 #: Separates words everywhere but in decontamination: space and the five ASCII controls from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Lists of text keys (32 bytes each) are broadcast up to this many, and joined by shuffle beyond.
+BROADCAST_KEYS = 1_000_000
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Steps, read
+from .common import BROADCAST_KEYS, Steps, read, text_key
 from .graph import components
 
 SEED, BITS, SHARED, WORDS = 42, 3, 5, 3
@@ -48,16 +48,21 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
+def row_key() -> Column:
+    """The key of a row's id and text."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_key(F.col("text"))))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of each row."""
+    """doc_id, key (of id and text) and fp (the 64 bits as a long) of each row."""
 
     def of(batches):
         for batch in batches:
-            fps = pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            fps = pa.array([fingerprint(t.as_py()) for t in batch.column(2)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], ["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        of, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(of, "doc_id long, key string, fp long")
 
 
 def _near(one: np.uint64, others: np.ndarray) -> np.ndarray:
@@ -144,7 +149,7 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id (the smallest id that links reach) of each row."""
+    """doc_id, key, fp and component_id (the smallest id that links reach) of each row."""
     steps = Steps(docs.sparkSession, "simhash")
     fps = steps.keep(fingerprints(docs), "fps")
     classes = steps.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
@@ -152,8 +157,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = steps.keep(rooted.select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
     smallest = steps.keep(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
-    named = steps.keep(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = steps.keep(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named")
+    return fps.join(named, "fp").select("doc_id", "key", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component with all its columns: the smallest id (null last), then the smallest key of id and text.
+
+    What goes is a list of keys, broadcast up to `BROADCAST_KEYS` of them and joined by shuffle beyond. Rows that repeat
+    id and text share a key; only those are looked at again to keep one of them.
+    """
+    steps = Steps(docs.sparkSession, "one-of-each")
+    found = steps.keep(near_duplicates(docs).select("root", "key", F.struct(F.col("doc_id").isNull(), "doc_id", "key").alias("rank")), "found")
+    first = steps.keep(found.groupBy("root").agg(F.min("rank").alias("first")), "first")
+    rest = found.join(first, "root").where(F.col("rank") != F.col("first")).select("key").distinct()
+    twice = found.groupBy("key").count().where("count > 1").select("key")
+    marks = rest.select("key", F.lit(1).alias("mark")).unionAll(twice.select("key", F.lit(2).alias("mark")))
+    marks = steps.keep(marks.groupBy("key").agg(F.min("mark").alias("mark")), "marks")
+    count = marks.count()
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("key"))
+    marked = rows.join(F.broadcast(marks) if count <= BROADCAST_KEYS else marks, "key", "left")
+    kept = marked.where("mark IS NULL").select("row.*")
+    if marks.where("mark = 2").isEmpty():
+        return kept
+    return kept.unionAll(marked.where("mark = 2").groupBy("key").agg(F.first("row").alias("row")).select("row.*"))
 
 
 def op5_simhash_near_duplicates(spark, sf_dir):
