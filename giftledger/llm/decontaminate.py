@@ -1,12 +1,12 @@
 """Benchmark decontamination with a hash set of test n-grams. DataFrame code only.
 
 A-Z is lower-cased and words are runs of letters, digits and everything beyond ASCII. A benchmark window is 13
-consecutive words of an item, or the whole of a shorter item. Every document is scanned once: its words are hashed
-window by window inside the row and the hashes are probed against the stored set of benchmark hashes. Only documents
-with a hit are read again, and there each hit is verified word by word before it counts.
+consecutive words of an item, or the whole of a shorter item. Every document is scanned once for hits: its words are hashed
+window by window inside the row, the hashes are probed against the set of benchmark hashes, and a hash that is found
+is verified word by word in the same join. Texts are never shuffled; a hit leaves the scan with the text's key.
 
-The set of benchmark hashes is a stored table of one long and one length for each distinct window, so Spark knows its
-size and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``; a larger benchmark is joined by shuffle.
+The set of benchmark windows is stored and counted first and broadcast up to `BROADCAST_GRAMS` windows (of 13 words, some
+200 bytes each); a larger benchmark is joined by shuffle.
 
 Defined results: a null, empty or word-less text has no words and is never contaminated; items without words have no
 window; items that repeat or share a window each count, an item with a null id hits words but is not listed; rows that
@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Steps, read, text_key
+from .common import BROADCAST_KEYS, Steps, read, text_key
 
 WORDS, SHARE = 13, 20
+BROADCAST_GRAMS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -39,45 +40,34 @@ def words_of(text: Column) -> Column:
 
 
 def windows_of(words: Column, length: Column | int) -> Column:
-    """Position (from 0), length and hash of every window of that many words; none where there are fewer words."""
+    """Position (from 0), length, words and hash of every window of that many words; none where there are fewer words."""
     length = F.lit(length) if isinstance(length, int) else length
     starts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(
-        i.alias("pos"), length.alias("len"), F.xxhash64(F.slice(words, i + 1, length)).alias("h")))
+    cut = F.transform(starts, lambda i: F.struct(i.alias("pos"), length.alias("len"), F.slice(words, i + 1, length).alias("words")))
+    return F.transform(cut, lambda x: F.struct(x["pos"].alias("pos"), x["len"].alias("len"), x["words"].alias("words"),
+                                               F.xxhash64(x["words"]).alias("h")))
 
 
 def item_windows(benchmark: DataFrame, n: int = WORDS) -> DataFrame:
-    """item_id, len, h and words of each window of each item."""
-    def cut(w):
-        windows = windows_of(w, F.least(F.lit(n), F.size(w)))
-        quoted = F.transform(windows, lambda x: F.struct(x["len"].alias("len"), x["h"].alias("h"),
-                                                         F.slice(w, x["pos"] + 1, x["len"]).alias("words")))
-        return F.when(F.size(w) > 0, quoted)
-
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.explode(_let(words_of(F.col("text")), cut)).alias("x"))
-    return items.select("item_id", "x.*").distinct()
+    """item_id, len, words and h of each window of each item."""
+    cut = _let(words_of(F.col("text")), lambda w: F.when(F.size(w) > 0, windows_of(w, F.least(F.lit(n), F.size(w)))))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.explode(cut).alias("x"))
+    return items.select("item_id", "x.len", "x.words", "x.h").distinct()
 
 
 def hits(docs: DataFrame, windows: DataFrame, steps: Steps) -> DataFrame:
     """key (of the text), n_hit, items (sorted ids) and spans (runs of hit words, as start and end) of each text with a verified hit."""
-    grams = steps.keep(windows.select("h", "len").distinct(), "grams")
-    lengths = [r["len"] for r in grams.select("len").distinct().collect()]  # at most one for each length up to n
+    grams = steps.keep(windows.groupBy("h", "len", "words").agg(F.collect_set("item_id").alias("items")), "grams")
+    size = grams.agg(F.count("*").alias("n"), F.collect_set("len").alias("lengths")).first()  # at most one length each up to n
     texts = docs.select(text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
-    if not lengths:
-        lengths = [WORDS]
-    cut = _let(words_of(F.col("text")), lambda w: F.concat(*[windows_of(w, n) for n in sorted(lengths)]))
-    probed = texts.select("key", F.explode(cut).alias("x")).select("key", "x.pos", "x.len", "x.h")
-    found = steps.keep(probed.join(grams, ["h", "len"]).select("key", "pos", "len", "h"), "found")
-    spots = found.distinct().groupBy("key").agg(F.collect_list(F.struct("pos", "len", "h")).alias("spots"))
-    spots = steps.keep(spots, "spots")
-    quoted = _let(words_of(F.col("text")), lambda w: F.transform("spots", lambda s: F.struct(
-        s["pos"].alias("pos"), s["len"].alias("len"), s["h"].alias("h"), F.slice(w, s["pos"] + 1, s["len"]).alias("words"))))
-    again = texts.join(spots, "key").select("key", F.explode(quoted).alias("s")).select("key", "s.*")
-    true = steps.keep(again.join(windows, ["h", "len", "words"]).groupBy("key", "pos", "len").agg(
-        F.collect_set("item_id").alias("items")), "true")
+    cut = _let(words_of(F.col("text")), lambda w: F.concat(*[windows_of(w, n) for n in sorted(size["lengths"]) or [WORDS]]))
+    probed = texts.select("key", F.explode(cut).alias("x")).select("key", "x.*").alias("d")
+    gram = (F.broadcast(grams) if size["n"] <= BROADCAST_GRAMS else grams).alias("b")
+    true = probed.join(gram, (F.col("d.h") == F.col("b.h")) & (F.col("d.words") == F.col("b.words")))
+    true = steps.keep(true.select("d.key", "d.pos", "d.len", "b.items"), "true").distinct()
     return true.groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("pos", "len"))).alias("at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     ).select("key", "items", _let(_merged(F.col("at")), lambda runs: F.struct(runs.alias("spans"), F.aggregate(
         runs, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"))).alias("r")).select("key", "items", "r.*")
 
@@ -122,6 +112,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, share:
     rows = docs.select(F.struct("*").alias("row"), text_key(F.col("text")).alias("key"))
     if remove == "documents":
         bad = steps.keep(report.where("contaminated").select("key").distinct(), "bad")
+        bad = F.broadcast(bad) if bad.count() <= BROADCAST_KEYS else bad  # 32 bytes each
         return rows.join(bad, "key", "left_anti").select("row.*")
     cuts = steps.keep(report.where("n_hit > 0").select("key", "spans").dropDuplicates(["key"]), "cuts")
     words = F.filter(F.split(F.col("row.text"), RAW_GAP), lambda w: w != "")  # evaluated once: the lambda below is over its result

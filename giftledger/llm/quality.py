@@ -85,7 +85,7 @@ class Model:
         self.mean, self.deviation = mean, deviation
         self.directions = draw.normal(size=(len(mean), FEATURES)) * math.sqrt(GAMMA / 2)
         self.phases = draw.uniform(0, 2 * math.pi, FEATURES)
-        self.weights, self.steps = np.zeros(FEATURES + 1), ([0.0], [0.5])
+        self.weights, self.steps, self.tie = np.zeros(FEATURES + 1), ([0.0], [0.5]), 0.0
 
     def features(self, x: np.ndarray) -> np.ndarray:
         """Whole numbers: features times `SCALE`, rounded, and a constant."""
@@ -99,7 +99,7 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         raw = self.raw(x, self.weights)
         calibrated = np.interp(raw, *self.steps)
-        return np.clip((1 - TIE) * calibrated + TIE * np.clip(raw, 0, 1), 0, 1)
+        return np.clip((1 - self.tie) * calibrated + self.tie * np.clip(raw, 0, 1), 0, 1)
 
 
 def _sums(model: Model):
@@ -162,7 +162,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str, steps: Steps) -> Model:
     totals = np.zeros((2, FEATURES + 2, FEATURES + 2), np.int64)
     for r in rows:
         totals[r["fold"], r["i"]] = r["v"]
-    model.weights = _solve(totals.sum(axis=0))
+    model.weights, model.tie = _solve(totals.sum(axis=0)), TIE
     others = [_solve(totals[1]), _solve(totals[0])]
 
     def crossed(batches):

@@ -1,0 +1,72 @@
+import collections
+
+import pytest
+from giftledger.llm import mixing
+from tests.llm.samples import empty, messy, rows
+
+SIZES = [len((r[1] or "").encode().split()) for r in rows()]
+
+
+def brute_targets(sizes, weights=(3, 1, 2), share=1.5, limit=2.0):
+    """Share by weight, cap, share the excess again, until nothing is above."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, left, excess = {s: 0.0 for s in order}, set(order), share * sum(sizes.values())
+    while excess > 1e-9 and left:
+        unit = excess / sum(weight[s] for s in left)
+        for s in left:
+            target[s] += unit * weight[s]
+        excess = sum(max(0, target[s] - limit * sizes[s]) for s in left)
+        for s in list(left):
+            if target[s] >= limit * sizes[s]:
+                target[s] = limit * sizes[s]
+                left.remove(s)
+    return target
+
+
+def test_messy_rows(spark):
+    found = mixing.mix_report(messy(spark)).collect()
+    assert len(found) == len(rows())
+    sizes = collections.Counter()
+    for r, n in zip(rows(), SIZES):
+        sizes[r[3]] += n
+    expected = brute_targets(sizes)
+    for r in found:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(expected[r.source])
+        assert r.taken == r.size * r.copies and r.copies <= 2
+        rate = r.target / r.source_size if r.source_size else 0
+        assert int(rate) <= r.copies <= int(rate) + 1
+    assert sorted(r.size for r in found) == sorted(SIZES)
+    again = mixing.mix_report(messy(spark).repartition(7)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+
+
+def test_levels_with_limits(spark):
+    sizes = {f"s{i}": n for i, n in enumerate([5, 1000, 40, 3, 700, 0, 90])}
+    frame = spark.createDataFrame([(1, s, n, 0.5) for s, n in sizes.items()], "doc_id long, source string, size long, draw double")
+    got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
+    assert got == pytest.approx(brute_targets(sizes))
+    assert sum(got.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
+def test_taken_comes_near_the_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    by = collections.defaultdict(lambda: [0, 0.0])
+    for r in mixing.mix_report(docs).select("source", "taken", "target").collect():
+        by[r.source][0] += r.taken
+        by[r.source][1] = r.target
+    for taken, target in by.values():
+        assert taken == pytest.approx(target, rel=0.15)
+
+
+def test_documents_are_emitted_with_all_columns(spark):
+    docs = messy(spark)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r.copies for r in mixing.mix_report(docs).collect())
+
+
+def test_empty(spark):
+    assert mixing.mix_report(empty(spark)).collect() == []
+    assert mixing.mixed_documents(empty(spark)).collect() == []

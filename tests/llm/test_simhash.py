@@ -1,0 +1,121 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from giftledger.llm import simhash
+from giftledger.llm.common import Steps
+from giftledger.llm.graph import components
+from tests.llm.samples import empty, messy, rows
+
+
+def brute_fingerprint(text):
+    words = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()).split()
+    shingles = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [b" ".join(words)] if words else []
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(items):
+    """items: (id, fp); the smallest id reachable over links of at most 3 bits, for each fp."""
+    fps = sorted({f for _, f in items})
+    parent = {f: f for f in fps}
+
+    def find(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[i + 1:]:
+            if bin(a ^ b).count("1") <= 3:
+                parent[find(a)] = find(b)
+    least = {}
+    for doc, f in items:
+        root = find(f)
+        if doc is not None:
+            least[root] = min(least.get(root, doc), doc)
+    return {f: least.get(find(f)) for f in fps}, len({find(f) for f in fps})
+
+
+def test_messy_rows(spark):
+    found = simhash.near_duplicates(messy(spark)).collect()
+    items = [(r[0], brute_fingerprint(r[1])) for r in rows()]
+    expected, _ = brute_components(items)
+    assert sorted((str(r.doc_id), r.fp % 2**64, str(r.component_id)) for r in found) == sorted(
+        (str(d), f, str(expected[f])) for d, f in items)
+
+
+def test_fingerprint_hash_is_the_engines(spark):
+    words = ["", "a", "é ü 漢", "x" * 100]
+    got = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) AS h").collect()
+    assert all(r.h % 2**64 == xxhash.xxh64_intdigest(r.w.encode(), 42) for r in got)
+
+
+@pytest.mark.parametrize("small, long", [(6, 4096), (2, 8)])
+def test_links_connect_what_brute_force_connects(spark, small, long, monkeypatch):
+    draw = random.Random(3)
+    fps = {draw.getrandbits(64) for _ in range(300)}
+    for f in list(fps)[:60]:  # chains and clusters, also inside one posting list
+        for _ in range(6):
+            f ^= sum(1 << b for b in draw.sample(range(64), draw.randint(1, 4)))
+            fps.add(f)
+    fps |= {0b111 << k for k in range(62)} | {0}
+    found = []
+    monkeypatch.setattr(simhash, "SMALL", small)
+    monkeypatch.setattr(simhash, "LONG", long)
+    keys = []
+    signed = np.array(sorted(fps), np.uint64)
+    octets = signed.view("u1").reshape(-1, 8).astype(np.int64)
+    for slot, t in enumerate(simhash.TRIPLES):
+        keys += list(zip((slot << 24) + (octets[:, t[0]] << 16) + (octets[:, t[1]] << 8) + octets[:, t[2]], signed))
+    keys.sort()
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array([int(k) for k, _ in part]), pa.array(np.array([f for _, f in part], np.uint64).view(np.int64))], ["key", "fp"])
+               for part in (keys[i:i + 100] for i in range(0, len(keys), 100))]
+    for batch in simhash._search(iter(batches)):
+        found += list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    assert all(bin((a ^ b) % 2**64).count("1") <= 3 for a, b in found)
+    parent = {f: f for f in fps}
+
+    def find(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for a, b in found:
+        parent[find(a % 2**64)] = find(b % 2**64)
+    expected, _ = brute_components([(f, f) for f in fps])
+    groups, wanted = {}, {}
+    for f in fps:
+        groups.setdefault(find(f), set()).add(f)
+        wanted.setdefault(expected[f], set()).add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7), (5, 4)]
+    found = components(Steps(spark, "test"), spark.createDataFrame(chain, "a long, b long")).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(len, groups.values())) == [50, 201]
+    assert components(Steps(spark, "test"), spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_row_of_each_component_stays(spark):
+    docs = messy(spark)
+    kept = simhash.one_of_each(docs).collect()
+    assert kept and list(kept[0].asDict()) == docs.columns
+    items = [(r[0], brute_fingerprint(r[1])) for r in rows()]
+    expected, count = brute_components(items)
+    assert len(kept) == count
+    assert {r.doc_id for r in kept if r.doc_id is not None} == {v for v in expected.values() if v is not None}
+    everything = {(r[0], r[1], r[3]) for r in rows()}
+    assert all((r.doc_id, r.text, r.source) in everything for r in kept)
+
+
+def test_empty(spark):
+    assert simhash.near_duplicates(empty(spark)).collect() == []
+    assert simhash.one_of_each(empty(spark)).collect() == []
