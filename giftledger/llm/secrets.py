@@ -33,7 +33,7 @@ WORD_ROWS, WORDS, FINDINGS, SEED = 2_000, 20_000, 6_000, 11
 TREES, DEPTH, LEAF, BINS, LEAST = 60, 9, 4, 16, 0.5
 MASK = "[SECRET]"
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")  # "=" only pads: before a value it assigns
 ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"']?([^\s\"'&,;<>()\[\]{}|]{8,})")
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
 NAME = re.compile(r"([A-Za-z][\w.-]{0,40})[\"']?[ \t]{0,3}$")
