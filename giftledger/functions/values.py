@@ -21,8 +21,8 @@ def parse_contribution_date(column: Column | str, lenient: bool = False) -> Colu
     """
     text = _col(column)
     if not lenient:
-        return F.when(text.rlike(f"^[0-9]{{4}}{YEAR}$"), F.try_to_date(text, "MMddyyyy"))
-    shape = f"^(1[0-2]|0[1-9]|[1-9])(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])({YEAR})$"
+        return F.when(text.rlike(rf"^[0-9]{{4}}{YEAR}\z"), F.try_to_date(text, "MMddyyyy"))
+    shape = rf"^(1[0-2]|0[1-9]|[1-9])(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])({YEAR})\z"
     month, day, year = (F.regexp_extract(text, shape, group) for group in (1, 2, 3))
     padded = F.concat(F.lpad(month, 2, "0"), F.lpad(F.trim(day), 2, "0"), year)
     return F.when(text.rlike(shape), F.try_to_date(padded, "MMddyyyy"))

@@ -102,25 +102,28 @@ def duplicate_examples(df: DataFrame, n: int = 5, key: Sequence[str] = GIFT_KEY)
 
 
 def first_rows(df: DataFrame, n: int = 50_000, key: str = "SUB_ID", groups: Sequence[int] = (1024, 32)) -> DataFrame:
-    """The ``n`` rows with the smallest key.
+    """The ``n`` rows with the smallest key, null first; ties are taken by a hash of the whole row.
 
     A plain sort-and-limit sends up to ``n`` whole rows of every input partition to one task. Here the n-th smallest
-    key is found first, on the key column alone: partitions are put into groups, each group keeps its ``n`` smallest
-    keys (cut down once more on the map side, by Spark's group limit), then groups of groups do. The rows up to that
-    key are then read with an ordinary filter, so only about ``n`` of them are sorted.
+    key is found first, on the key and the hash alone: partitions are put into groups, each group keeps its ``n``
+    smallest (cut down once more on the map side, by Spark's group limit), then groups of groups do. The rows up to
+    that place are then read with an ordinary filter, so only about ``n`` of them are sorted, however many rows share
+    a key; only rows that are the same in every column stay tied.
     """
     rows = _only_good(df)
-    keys = rows.select(key).withColumn("sample_group", F.spark_partition_id())
+    tie = F.xxhash64(*[part for c in rows.columns for part in (F.col(c).isNull(), F.col(c))])
+    place = F.struct(F.col(key).alias("key"), tie.alias("tie"))
+    places = rows.select(place.alias("place")).withColumn("sample_group", F.spark_partition_id())
     for width in groups:
-        within = Window.partitionBy("sample_group").orderBy(key)
-        keys = (
-            keys.withColumn("sample_group", F.pmod("sample_group", F.lit(width)))
+        within = Window.partitionBy("sample_group").orderBy("place")
+        places = (
+            places.withColumn("sample_group", F.pmod("sample_group", F.lit(width)))
             .withColumn("sample_rank", F.row_number().over(within))
             .where(F.col("sample_rank") <= n)
             .drop("sample_rank")
         )
-    last_key = keys.select(key).orderBy(key).limit(n).agg(F.max(key))
-    return rows.where(F.col(key) <= last_key.scalar()).orderBy(key).limit(n)
+    last = places.select("place").orderBy("place").limit(n).agg(F.max("place"))
+    return rows.where(place <= last.scalar()).orderBy(place).limit(n)
 
 
 def blank_zip_rate(staged: DataFrame) -> DataFrame:

@@ -204,18 +204,19 @@ def enforce(stage: str, report: DataFrame) -> None:
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, portable: bool = False) -> DataFrame:
     """Row count and an order-free sum of row hashes; equal contents give equal rows.
 
-    A sum, not an exclusive or, so that pairs of equal rows do not cancel. ``portable`` hashes text with MD5, which
-    other engines can repeat; the default is much cheaper.
+    A sum, not an exclusive or, so that pairs of equal rows do not cancel. Nulls are hashed too, and text parts carry
+    their length, so a value cannot pass for one of another column. ``portable`` hashes text with MD5, which other
+    engines can repeat, and sums both halves of the digest (``hash_sum`` and ``hash_sum_low``); the default is much
+    cheaper.
     """
     columns = list(columns or df.columns)
     if portable:
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-        digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15)
-        row_hash = F.conv(digits, 16, 10)
+        text = [F.col(c).cast("string") for c in columns]
+        parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("N")) for t in text]
+        digest = F.md5(F.concat_ws("|", *parts))
+        hashes = {"hash_sum": F.conv(F.substring(digest, 1, 16), 16, 10), "hash_sum_low": F.conv(F.substring(digest, 17, 16), 16, 10)}
     else:
-        row_hash = F.xxhash64(*columns)
-    total = F.sum(row_hash.cast(T.DecimalType(38, 0)))
-    return df.agg(
-        F.count("*").alias("row_count"),
-        F.coalesce(total, F.lit(0)).cast(T.DecimalType(38, 0)).alias("hash_sum"),
-    )
+        hashes = {"hash_sum": F.xxhash64(*[part for c in columns for part in (F.col(c).isNull(), F.col(c))])}
+    number = T.DecimalType(38, 0)
+    sums = [F.coalesce(F.sum(h.cast(number)), F.lit(0)).cast(number).alias(name) for name, h in hashes.items()]
+    return df.agg(F.count("*").alias("row_count"), *sums)

@@ -38,10 +38,12 @@ def _some_null(keys: Sequence[str]) -> Column:
 def one_row_per_key(df: DataFrame, keys: Sequence[str], keep: str = "sub_id") -> DataFrame:
     """The row with the smallest ``keep`` value for each complete key; rows with a null in the key all stay.
 
-    Aggregates rather than ranking, so repeats of a hot key are combined before they are shuffled.
+    A null ``keep`` comes after all values, and ties go to the smallest of the other columns. Aggregates rather than
+    ranking, so repeats of a hot key are combined before they are shuffled.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.col(keep)).alias("best")
+    ranked = F.struct(F.col(keep).isNull(), F.col(keep).alias("rank"), F.struct(*rest).alias("rest"))
+    best = F.min(ranked)["rest"].alias("best")
     columns = [F.col(c) if c in keys else F.col(f"best.{c}").alias(c) for c in df.columns]
     single = df.where(~_some_null(keys)).groupBy(*keys).agg(best).select(*columns)
     return single.unionByName(df.where(_some_null(keys)))
@@ -133,8 +135,5 @@ def upsert_table(
         if partly:
             merged = merge_rows(target.where(F.col(LOAD_DATE).isin(*partly)), batch, keys)
         merged = target.where(F.col(LOAD_DATE).isin(*kept_whole)).unionByName(merged) if kept_whole else merged
-        if len(concerned) > 1:
-            # Gather each load date; adaptive execution cuts a large one into several files and joins small ones.
-            merged = merged.hint("rebalance", F.col(LOAD_DATE))
         rows = replace_partitions(merged, path, emptied)
         return UpsertResult(rows_in, rows, tuple(concerned), tuple(emptied))

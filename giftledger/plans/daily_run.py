@@ -137,13 +137,18 @@ def run_identity(
     return result
 
 
-def rebuild_identity(spark: SparkSession, staged: DataFrame, dim_table: str, **choices) -> int:
-    """Resolve everything again and replace the whole dimension, load dates that have gone included."""
+def rebuild_identity(spark: SparkSession, staged: DataFrame, dim_table: str, unresolved_table: str, **choices) -> int:
+    """Resolve everything again and replace the whole dimension and review table, load dates that have gone included."""
     tb.ensure_table(spark, dim_table, DIM_DONORS)
+    tb.ensure_table(spark, unresolved_table, UNRESOLVED)
     dates = {row[LOAD_DATE] for row in staged.select(LOAD_DATE).distinct().collect()}
     old = {row[LOAD_DATE] for row in tb.read_table(spark, dim_table, DIM_DONORS).select(LOAD_DATE).distinct().collect()}
-    resolved = resolve_identity(staged, **choices).hint("rebalance", F.col(LOAD_DATE))
-    return tb.replace_partitions(resolved, dim_table, emptied=sorted(old - dates))
+    rows = tb.replace_partitions(resolve_identity(staged, **choices), dim_table, emptied=sorted(old - dates))
+    flagged = unresolved_rows(tb.read_table(spark, dim_table, DIM_DONORS))
+    listed = tb.read_table(spark, unresolved_table, UNRESOLVED)
+    now, before = ({row[LOAD_DATE] for row in t.select(LOAD_DATE).distinct().collect()} for t in (flagged, listed))
+    tb.replace_partitions(flagged, unresolved_table, emptied=sorted(before - now))
+    return rows
 
 
 def run_fixture_identity(spark: SparkSession, path: str, execution_date: date, dim_table: str, unresolved_table: str):

@@ -371,9 +371,12 @@ ORACLES: dict[str, str] = {
     ),
     "quality_report": _quality(),
     "table_fingerprint": _with(
-        f"""SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5({" || '|' || ".join(
-            f"coalesce(CAST({c} AS STRING), chr(92) || 'N')" for c in FINGERPRINT_COLUMNS
-        )}), 1, 15) AS BIGINT)) AS DECIMAL(38,0)) AS hash_sum FROM staged""",
+        f"""SELECT count(*) AS row_count,
+             CAST(sum(CAST('0x' || substr(d, 1, 16) AS UBIGINT)) AS DECIMAL(38,0)) AS hash_sum,
+             CAST(sum(CAST('0x' || substr(d, 17, 16) AS UBIGINT)) AS DECIMAL(38,0)) AS hash_sum_low
+           FROM (SELECT md5({" || '|' || ".join(
+            f"coalesce(CAST(length(CAST({c} AS STRING)) AS STRING) || ':' || CAST({c} AS STRING), 'N')" for c in FINGERPRINT_COLUMNS
+        )}) AS d FROM staged)""",
         **STAGED,
     ),
     "run_log": _with(

@@ -68,7 +68,7 @@ def _stored(df: DataFrame, label: str, partitioned: bool = True) -> DataFrame:
     joins and the normalization behind it.
     """
     path = scratch_path(df.sparkSession, label)
-    writer = df.write.partitionBy(LOAD_DATE) if partitioned else df.write
+    writer = df.hint("rebalance", F.col(LOAD_DATE)).write.partitionBy(LOAD_DATE) if partitioned else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -50,12 +50,16 @@ def replace_partitions(df: DataFrame, path: str, emptied: Iterable[date] = ()) -
     """Replace the partitions that ``df`` has rows for, drop those in ``emptied``, and return the rows written.
 
     Spark's dynamic overwrite leaves a partition without new rows as it was, so a partition that lost its last row
-    has to be named. New partitions are in place before any old one goes: a crash in between leaves a row twice,
-    never nowhere, and a rerun puts it right.
+    has to be named. Spark's committer replaces one folder after the other: a crash before the commit changes
+    nothing, a crash inside it can leave a partition missing until it is written again.
+
+    Each load date is gathered; adaptive execution cuts a large one into several files and joins small ones, so a
+    table has files in proportion to its size and not one for each task and date.
     """
     seen = Observation()
     (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        df.hint("rebalance", F.col(LOAD_DATE))
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE)
@@ -98,7 +102,11 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     pointer = f"{path.rstrip('/')}/CURRENT"
     if not path_exists(spark, pointer):
         return None
-    return spark.read.text(pointer, wholetext=True).first()["value"].strip()
+    content = spark.read.text(pointer, wholetext=True).first()
+    version = content["value"].strip() if content else ""
+    if not version:
+        raise ValueError(f"the pointer {pointer} is empty; publish a snapshot again")
+    return version
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

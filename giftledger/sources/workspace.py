@@ -47,13 +47,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create or replace one small file (used for table pointers)."""
-    fs, hadoop_path = _file_system(spark, path)
+    """Create or replace one small file (used for table pointers).
+
+    The text is written beside and renamed over, so readers find the old content or the new one.
+    """
+    beside = f"{path}.{uuid.uuid4().hex}"
+    fs, hadoop_path = _file_system(spark, beside)
     stream = fs.create(hadoop_path, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    replace = spark.sparkContext._gateway.new_array(options, 1)
+    replace[0] = options.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
+    context.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(path), replace)
 
 
 @contextmanager

@@ -121,8 +121,12 @@ def test_rebuild_drops_load_dates_that_have_gone(spark, warehouse):
 
     rows = [r[:4] for r in IDENTITY]
     two_days = staged_rows(spark, [*[(*r, DAY) for r in rows[:20]], *[(*r, DAY_2) for r in rows[20:]]])
-    assert R.rebuild_identity(spark, two_days, warehouse.dim_donors) == 26
-    assert R.rebuild_identity(spark, two_days.where(F.col("_load_date") == F.lit(DAY)), warehouse.dim_donors) == 20
+    tables = (warehouse.dim_donors, warehouse.unresolved)
+    assert R.rebuild_identity(spark, two_days, *tables, mode="route") == 26
+    flagged = tb.read_table(spark, warehouse.dim_donors, DIM_DONORS).where("identity_conflict").count()
+    assert tb.read_table(spark, warehouse.unresolved, UNRESOLVED).count() == flagged > 0
+    assert R.rebuild_identity(spark, two_days.where(F.col("_load_date") == F.lit(DAY)), *tables) == 20
+    assert tb.read_table(spark, warehouse.unresolved, UNRESOLVED).count() == 0
     counts = tb.partition_row_count(tb.read_table(spark, warehouse.dim_donors, DIM_DONORS)).collect()
     assert [tuple(r) for r in counts] == [(DAY, 20)]
 

@@ -115,6 +115,16 @@ def test_first_rows_with_a_repeated_key(spark):
     assert P.first_rows(df, 250).count() == 250
 
 
+def test_first_rows_with_null_and_tied_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), ("b", 5)], "SUB_ID string, v int").repartition(3)
+    for n, wanted in [(1, [None]), (2, [None, None]), (3, [None, None, "a"]), (5, [None, None, "a", "a", "b"]), (9, [None, None, "a", "a", "b"])]:
+        got = P.first_rows(df, n).collect()
+        assert [r["SUB_ID"] for r in got] == wanted
+        assert got == P.first_rows(df.repartition(2), n).collect()
+    tied = spark.range(5000, numPartitions=8).select(F.lit("").alias("SUB_ID"), "id")
+    assert len({r["id"] for r in P.first_rows(tied, 10).collect()}) == 10
+
+
 def test_blank_zip_rate(spark):
     staged = spark.createDataFrame([("", AS_OF), ("1", AS_OF), ("2", AS_OF)], "zip_normalized string, _load_date date")
     assert tuple(P.blank_zip_rate(staged).first()) == (AS_OF, 1, 3, 33.33)

@@ -117,3 +117,6 @@ def test_fingerprint(spark, portable):
     assert Q.fingerprint(df.orderBy(F.desc("n")).repartition(3), portable=portable).first() == base
     assert Q.fingerprint(df.where("n = 1"), portable=portable).first() != base
     assert Q.fingerprint(df.fillna("x"), portable=portable).first() != base
+    pairs = [[(None, "x")], [("x", None)], [("a|b", "c")], [("a", "b|c")], [("N", "x")], [("", "x")]]
+    prints = [Q.fingerprint(spark.createDataFrame(p, "a string, b string"), portable=portable).first() for p in pairs]
+    assert len(set(prints)) == len(pairs)

@@ -117,3 +117,13 @@ def test_fallback_key(spark):
     )
     merged = U.merge_on_fallback_key(target, source)
     assert sorted(r["sub_id"] for r in merged.collect()) == ["s1", "s3", "s4", "t2", "t3"]
+
+
+def test_fallback_key_without_record_ids(spark):
+    schema = "donor_name_normalized string, contribution_date date, contribution_amount int, cmte_id string, sub_id string"
+    rows = [("n", D1, 5, "C3", None), ("n", D1, 5, "C2", None), ("m", D1, 5, "C4", None), ("m", D1, 5, "C5", "s1"), ("k", D1, 1, None, None)]
+    target = spark.createDataFrame([("n", D1, 5, "C1", "t1"), ("z", D1, 5, "C1", None)], schema)
+    merged = U.merge_on_fallback_key(target, spark.createDataFrame(rows, schema))
+    assert sorted(map(tuple, merged.collect())) == [
+        ("k", D1, 1, None, None), ("m", D1, 5, "C5", "s1"), ("n", D1, 5, "C2", None), ("z", D1, 5, "C1", None)
+    ]
