@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lempel_ziv, mixing, neighbours, quality, secrets, simhash, suffixes, toxicity
+from . import decontaminate, lempel_ziv, mixing, neighbours, pseudonyms, quality, secrets, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_simhash_near_duplicates": simhash.op5_simhash_near_duplicates,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_lempel_ziv_dedup": lempel_ziv.op7_lempel_ziv_dedup,
+    "op8_pseudonyms": pseudonyms.op8_pseudonyms,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_secret_scan": secrets.op10_secret_scan,
 }

@@ -1,0 +1,35 @@
+import re
+
+from giftledger.llm import pseudonyms as P
+from pyspark.sql import functions as F
+from tests.llm.samples import empty, messy, rows
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_values_keep_their_format_and_stay_linked(spark):
+    values = ["4465758382889437", "4465-7583-8288-9437", "+1 (523) 555-1055", "217.94.102.185", "123-45-6789", "1999-02-28"]
+    bad = ["4465758382889438", "999.1.1.1", "666-12-3456", "2001-02-30", "12345678"]
+    texts = [f"a {v}, b {v}" for v in values + bad] + [None, "", "x"]
+    got = [r.text for r in P.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()]
+    for value, text in zip(values, got):
+        one, two = re.fullmatch(r"a (.*), b (.*)", text).groups()
+        assert one == two != value and re.sub(r"\d", "9", re.sub(r"\d+", "9", one)) == re.sub(r"\d+", "9", value)
+    assert got[len(values):] == texts[len(values):]
+    cards = [re.sub(r"\D", "", t[2:].split(",")[0]) for t in got[:2]]
+    assert cards[0] == cards[1] and len(cards[0]) == 16 and luhn(cards[0])
+
+
+def test_dates_are_permuted(spark):
+    days = spark.sql("SELECT date_format(date_add(DATE'1800-01-01', CAST(id AS int)), 'yyyy-MM-dd') AS d FROM range(146097)")
+    new = days.select(P.pseudonym(F.col("d")).alias("p"))
+    assert tuple(new.agg(F.count("p"), F.count_distinct("p"), F.min("p"), F.max("p")).first()) == (146097, 146097, "1800-01-01", "2199-12-31")
+
+
+def test_messy_rows_and_empty(spark):
+    out = P.masked_documents(messy(spark))
+    assert out.columns == messy(spark).columns
+    assert sorted(str(r.text) for r in out.collect()) == sorted(str(r[1]) for r in rows())
+    assert P.masked_documents(empty(spark)).collect() == []
