@@ -1,9 +1,9 @@
 """Benchmark decontamination with a hash set of test n-grams. DataFrame code only.
 
 A-Z is lower-cased and words are runs of letters, digits and everything beyond ASCII. A benchmark window is 13
-consecutive words of an item, or the whole of a shorter item. Every document is scanned once for hits: its words are hashed
-window by window inside the row, the hashes are probed against the set of benchmark hashes, and a hash that is found
-is verified word by word in the same join. Texts are never shuffled; a hit leaves the scan with the text's key.
+consecutive words of an item, or the whole of a shorter item. Every document is scanned once for hits: three words of each
+window are looked up in a table of bits inside the row, windows whose bit is set are hashed and probed against the
+broadcast set of benchmark hashes, and a hash that is found is verified word by word in the same join. Texts are never shuffled; a hit leaves the scan with the text's key.
 
 The set of benchmark windows is stored and counted first and broadcast up to `BROADCAST_GRAMS` windows (of 13 words, some
 200 bytes each); a larger benchmark is joined by shuffle.
@@ -26,7 +26,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: One character class for text as it is written, in which A-Z are word characters too.
-RAW_TOKEN, RAW_GAP = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RAW_TOKEN, RAW_GAP = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bits of the table that says which windows are worth cutting out; its size is fixed, 128 KB.
+SPOTS = 1 << 20
 
 
 def _let(value: Column, use) -> Column:
@@ -39,10 +41,34 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lowered, GAP), lambda w: w != "")
 
 
-def windows_of(words: Column, length: Column | int) -> Column:
-    """Position (from 0), length, words and hash of every window of that many words; none where there are fewer words."""
+def spot_of(words: Column, start: Column, length: Column) -> Column:
+    """A number below `SPOTS` from the first, middle and last word of a window."""
+    middle = F.floor(length / 2).cast("int")
+    return F.xxhash64(words[start], words[start + middle], words[start + length - 1]).bitwiseAND(SPOTS - 1)
+
+
+def spot_table(grams: DataFrame) -> Column:
+    """A bit for each spot, in numbers of 64: set where a window of ``grams`` (len, words) has it."""
+    spots = grams.select(spot_of(F.col("words"), F.lit(0), F.col("len")).alias("spot"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("spot").bitwiseAND(63).cast("int"))
+    rows = spots.groupBy(F.shiftright("spot", 6).alias("place")).agg(F.bit_or(bit).alias("bits")).collect()  # at most SPOTS / 64
+    table = [0] * (SPOTS // 64)
+    for r in rows:
+        table[r["place"]] = r["bits"]
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<long>")  # folded into one literal
+
+
+def windows_of(words: Column, length: Column | int, table: Column | None = None) -> Column:
+    """Position (from 0), length, words and hash of every window of that many words; none where there are fewer words.
+
+    With a `spot_table`, windows whose spot is not set are left out.
+    """
     length = F.lit(length) if isinstance(length, int) else length
     starts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length)).otherwise(F.array().cast("array<int>"))
+    if table is not None:
+        every = starts
+        is_set = lambda spot: F.getbit(table[F.shiftright(spot, 6).cast("int")], spot.bitwiseAND(63).cast("int")) == 1
+        starts = _let(F.transform(every, lambda i: spot_of(words, i, length)), lambda spots: F.filter(every, lambda i: is_set(spots[i])))
     cut = F.transform(starts, lambda i: F.struct(i.alias("pos"), length.alias("len"), F.slice(words, i + 1, length).alias("words")))
     return F.transform(cut, lambda x: F.struct(x["pos"].alias("pos"), x["len"].alias("len"), x["words"].alias("words"),
                                                F.xxhash64(x["words"]).alias("h")))
@@ -59,8 +85,9 @@ def hits(docs: DataFrame, windows: DataFrame, steps: Steps) -> DataFrame:
     """key (of the text), n_hit, items (sorted ids) and spans (runs of hit words, as start and end) of each text with a verified hit."""
     grams = steps.keep(windows.groupBy("h", "len", "words").agg(F.collect_set("item_id").alias("items")), "grams")
     size = grams.agg(F.count("*").alias("n"), F.collect_set("len").alias("lengths")).first()  # at most one length each up to n
+    table = spot_table(grams)
     texts = docs.select(text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
-    cut = _let(words_of(F.col("text")), lambda w: F.concat(*[windows_of(w, n) for n in sorted(size["lengths"]) or [WORDS]]))
+    cut = _let(words_of(F.col("text")), lambda w: F.concat(*[windows_of(w, n, table) for n in sorted(size["lengths"]) or [WORDS]]))
     probed = texts.select("key", F.explode(cut).alias("x")).select("key", "x.*").alias("d")
     gram = (F.broadcast(grams) if size["n"] <= BROADCAST_GRAMS else grams).alias("b")
     true = probed.join(gram, (F.col("d.h") == F.col("b.h")) & (F.col("d.words") == F.col("b.words")))
