@@ -8,7 +8,7 @@ surroundings (path or URL, quotes, assignment, words before it that name secrets
 
 The forest is trained from labelled findings: a frame of (before, value, after, secret), by default
 `labelled_findings`, which sets known key formats and known harmless formats among words of the corpus; the
-corpus's own findings are never trained on. Words come from at most `WORD_ROWS` documents (smallest hashes of the text).
+corpus's own findings are never trained on. Words come from at most `WORD_ROWS` distinct texts (smallest hashes).
 
 Defined results: a null text has no findings; overlapping candidates give the assigned one; rows that repeat are each
 scanned; an empty table has no findings. Offsets count characters.
@@ -145,9 +145,15 @@ class Forest:
 
 
 def corpus_words(docs: DataFrame, rows: int = WORD_ROWS, words: int = WORDS) -> list[str]:
-    """The most frequent words of letters in a bounded sample of the texts, for `Language`."""
-    sample = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    sample = sample.select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(rows)
+    """The most frequent words of letters in a bounded sample of the texts, for `Language`.
+
+    The sample is drawn from the distinct texts in the lowest share of hashes that about four times ``rows`` rows have,
+    so that few texts, and a text with many copies once, meet where they are ordered.
+    """
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    share = min(1.0, 4 * rows / max(texts.count(), 1))
+    lowest = texts.select(F.xxhash64("text").alias("h"), "text").where(F.col("h") <= int(-(2**63) + share * (2**64 - 2**11)))
+    sample = lowest.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(rows)
     each = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![\p{L}\p{N}])\p{L}{2,24}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
     top = each.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words)
     return [r["w"] for r in top.collect()]
