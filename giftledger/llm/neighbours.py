@@ -7,8 +7,9 @@ enough to hold `COVER` of its true neighbours there. Every vector is indexed.
 Inside a list vectors are rotated by one random orthogonal matrix and stored in blocks of `BLOCK` columns. After a
 rotation any d of D coordinates estimate the whole distance, so a candidate is abandoned after a block when the
 hypothesis that it is closer than the query's current k-th candidate is rejected: sqrt(D / d) * partial distance >
-(1 + EPSILON / sqrt(d)) * that distance. Survivors get their Euclidean distance from the original vectors in double
-precision, and that is the score.
+(1 + EPSILON / sqrt(d)) * that distance. What rounding of the stored coordinates can add is allowed for, so that a
+candidate as near as the k-th is not abandoned by it. Survivors get their Euclidean distance from the original vectors in
+double precision, and that is the score.
 
 Lists are cut into parts of about `PART` vectors and query sets into parts of about `QUERIES`, so neither a list that
 holds a third of all vectors nor a popular query lands in one task. Each pair of parts returns at most k rows a query.
@@ -31,6 +32,8 @@ from .common import Steps, read
 
 K, SAMPLE_ROWS, SAMPLE_VALUES, COVER, TRIALS = 10, 20_000, 8_000_000, 0.985, 256
 BLOCK, EPSILON, FIRST = 16, 2.1, 32
+#: Bound of the relative error of stored coordinates (single precision: 2^-24, with room for the rotation's own).
+ROUNDING = 2.0**-22
 PART, QUERIES, MOST_LISTS, ROUNDS, SEED = 16_384, 4_096, 1_024, 8, 5
 
 
@@ -87,12 +90,13 @@ def scan(query: np.ndarray, turned: np.ndarray, originals: np.ndarray, blocks: l
     if len(rest):
         limit = np.partition(scores, k - 1)[k - 1] if len(scores) >= k else np.inf
         dim, partial, d = len(query), np.zeros(len(rest)), 0
+        rounding = ROUNDING * (2 * math.sqrt((query**2).sum()) + limit)  # what is within the limit is no longer than query + limit
         for block in blocks:
             piece = turned[d:d + block.shape[1]]
             partial = partial + ((block[rest] - piece) ** 2).sum(axis=1)
             d += len(piece)
-            slack = 1 + EPSILON / math.sqrt(d) if d < dim else 1 + 1e-9
-            alive = np.sqrt(partial * (dim / d)) <= slack * limit
+            slack = 1 + EPSILON / math.sqrt(d) if d < dim else 1
+            alive = np.sqrt(partial * (dim / d)) <= slack * limit + rounding * math.sqrt(dim / d)
             rest, partial = rest[alive], partial[alive]
         first, scores = np.concatenate([first, rest]), np.concatenate([scores, exact(rest)])
     best = np.lexsort((ids[first], scores))[:k]
@@ -138,6 +142,7 @@ def nearest(vectors: DataFrame, queries, k: int = K) -> DataFrame:
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
         at, ids, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
         if len(asked) and len(held):
+            held = held.sort_by("vec_id")  # a shuffle brings rows in any order
             originals, names = _stack(held.column("v")), held.column("vec_id").to_numpy()
             turned = (originals @ rotation).astype(np.float32)
             blocks = [np.ascontiguousarray(turned[:, d:d + BLOCK]) for d in range(0, dim, BLOCK)]

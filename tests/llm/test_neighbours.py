@@ -87,3 +87,29 @@ def test_abandoned_candidates_are_farther():
         d = ((vectors - vectors[q]) ** 2).sum(axis=1)
         right += len(set(places) & set([i for i in np.argsort(d) if i != q][:10]))
     assert right >= 0.97 * 500
+
+
+@pytest.mark.parametrize("away", [0.0, 1e-3, 1.0])
+@pytest.mark.parametrize("seed", range(6))
+def test_all_ties_reach_the_exact_score(away, seed):
+    """500 copies in random order, at the query or at a distance from it: the smallest ids are returned."""
+    draw = np.random.default_rng(seed)
+    query, turn = draw.normal(size=32), np.linalg.qr(draw.normal(size=(32, 32)))[0]
+    vectors = np.concatenate([np.tile(query + away * draw.normal(size=32) / 6, (500, 1)), 9 + draw.normal(size=(500, 32))])
+    ids = draw.permutation(1000)
+    turned = (vectors @ turn).astype(np.float32)
+    blocks = [np.ascontiguousarray(turned[:, d:d + 16]) for d in (0, 16)]
+    places, _ = neighbours.scan(query, query @ turn, vectors, blocks, ids, -1, 10)
+    assert sorted(ids[places]) == sorted(ids[:500])[:10]
+
+
+def test_ties_with_shuffled_rows(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART", 400)
+    monkeypatch.setattr(neighbours, "usable", lambda v, steps, of=neighbours.usable: (lambda rows, dim: (rows.orderBy(F.hash("vec_id")), dim))(*of(v, steps)))
+    draw = np.random.default_rng(4)
+    same = draw.normal(size=32).astype(np.float32)
+    vectors = {int(i): same if n < 700 else draw.normal(size=32).astype(np.float32) for n, i in enumerate(draw.permutation(1500))}
+    got = found(neighbours.nearest(frame(spark, vectors.items()).repartition(23), F.col("vec_id") % 20 == 0))
+    copies = sorted(i for i, v in vectors.items() if v is same)
+    asked = [q for q in copies if q % 20 == 0]
+    assert asked and all([i for _, i, _ in got[q]] == [i for i in copies if i != q][:10] for q in asked)
