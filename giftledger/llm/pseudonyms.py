@@ -5,7 +5,9 @@ whole Gregorian cycle of 146,097 days), telephone numbers `+1 (ddd) ddd-dddd`, s
 addresses. Each is written as a pair (a, b) of whole numbers below two fixed bounds and goes through `ROUNDS` rounds that
 add a keyed hash of one number to the other. That permutes the values of a kind: equal values get equal pseudonyms in
 every document, different ones different pseudonyms, and a pseudonym is valid where its value was. Separators stay. A
-card keeps its length and gets the check digit of its new body.
+card keeps its length and gets the check digit of its new body; where a run of digit groups fails the check, the longest
+part of it made of whole groups that passes is the card. Telephone numbers whose area or exchange is below 200 are
+permuted among themselves. A date may be followed by the time of a timestamp.
 
 The key is a parameter; who has it can invert the rounds, so production runs pass their own.
 
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import read
 
 KEY, ROUNDS, CYCLE = "pseudonyms", 10, "1800-01-01"
-CARD, DATE = r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", r"(?<![\w-])(?:18|19|20|21)[0-9]{2}-[01][0-9]-[0-3][0-9](?![\w-])"
-PHONE, SSN = r"\+1 \([2-9][0-9]{2}\) [2-9][0-9]{2}-[0-9]{4}(?![0-9])", r"(?<![\w-])[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}(?![\w-])"
+CARD, DATE = r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", r"(?<![\w-])(?:18|19|20|21)[0-9]{2}-[01][0-9]-[0-3][0-9](?:(?=T[0-9])|(?![\w-]))"
+PHONE, SSN = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])", r"(?<![\w-])[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}(?![\w-])"
 IP = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"
 ANY = f"{DATE}|{SSN}|{PHONE}|{CARD}|{IP}"
 
@@ -72,6 +74,22 @@ def _card(m: Column, key: str) -> Column:
     return F.when(F.call_function("luhn_check", digits), _with(_with(digits, permuted), laid_out))
 
 
+def _card_within(m: Column, key: str) -> Column:
+    """A run of digit groups with the longest (then first) part of whole groups that passes the check in pseudonym."""
+    gap = lambda i: F.substring(m, i, F.lit(1)).isin(" ", "-")
+    places, size = F.sequence(F.lit(1), F.length(m)), F.length(m)
+    starts = F.filter(places, lambda i: (i == 1) | gap(F.greatest(i - 1, F.lit(1))))
+    ends = F.filter(places, lambda i: (i == size) | gap(i + 1))
+    parts = F.flatten(F.transform(starts, lambda s: F.transform(ends, lambda e: F.struct((s - e).alias("n"), s.alias("s"), F.substring(m, s, F.greatest(e - s + 1, F.lit(0))).alias("t")))))
+
+    def right(x: Column) -> Column:
+        digits = F.regexp_replace(x["t"], "[^0-9]", "")
+        return F.length(digits).between(13, 19) & F.call_function("luhn_check", digits)
+
+    best = F.array_min(F.filter(parts, right))
+    return _with(best, lambda x: F.concat(F.substring(m, F.lit(1), x["s"] - 1), _card(x["t"], key), F.substring(m, x["s"] + F.length(x["t"]), size)))
+
+
 def _date(m: Column, key: str) -> Column:
     day = F.try_to_date(m, "yyyy-MM-dd")
     place = F.date_diff(day, F.lit(CYCLE).cast("date"))  # 146,097 = 189 * 773 days
@@ -80,10 +98,13 @@ def _date(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    rest = (_number(m, 10, 3) - 200) * 10_000 + _number(m, 14, 4)
-    pair = feistel(_number(m, 5, 3) - 200, rest, F.lit(800), F.lit(8_000_000), "phone", key)
-    return _with(pair, lambda p: F.concat(F.lit("+1 ("), (p["a"] + 200).cast("string"), F.lit(") "),
-                                          (F.floor(p["b"] / 10_000) + 200).cast("string"), F.lit("-"), _pad(p["b"] % 10_000, 4)))
+    area, exchange = _number(m, 5, 3), _number(m, 10, 3)
+    low, near = area < 200, (area >= 200) & (exchange < 200)  # neither is assigned: each class is permuted in itself
+    from_a, from_b = F.when(low, 0).otherwise(200), F.when(low | near, 0).otherwise(200)
+    most_a, most_b = F.when(low, 200).otherwise(800), F.when(low, 10_000_000).when(near, 2_000_000).otherwise(8_000_000)
+    pair = feistel(area - from_a, (exchange - from_b) * 10_000 + _number(m, 14, 4), most_a, most_b, "phone", key)
+    return _with(pair, lambda p: F.concat(F.lit("+1 ("), _pad(p["a"] + from_a, 3), F.lit(") "),
+                                          _pad(F.floor(p["b"] / 10_000) + from_b, 3), F.lit("-"), _pad(p["b"] % 10_000, 4)))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -107,7 +128,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     out = F.when(m.rlike(f"^(?:{kinds[0][0]})$"), kinds[0][1](m, key))
     for pattern, of in kinds[1:]:
         out = out.when(m.rlike(f"^(?:{pattern})$"), of(m, key))
-    return out.otherwise(_card(m, key))
+    return out.otherwise(F.coalesce(_card(m, key), _card_within(m, key)))
 
 
 def values_of(text: Column, key: str = KEY) -> Column:

@@ -33,3 +33,38 @@ def test_messy_rows_and_empty(spark):
     assert out.columns == messy(spark).columns
     assert sorted(str(r.text) for r in out.collect()) == sorted(str(r[1]) for r in rows())
     assert P.masked_documents(empty(spark)).collect() == []
+
+
+def test_every_number_of_the_format_is_permuted(spark):
+    """Low areas and exchanges too; each class in itself, none left as it is."""
+    numbers = [f"+1 ({a:03d}) {b:03d}-{n:04d}" for a in range(0, 1000, 37) for b in range(0, 1000, 41) for n in (0, 7713)]
+    got = [r.p for r in spark.createDataFrame([(n,) for n in numbers], "m string").coalesce(1).select(P.pseudonym(F.col("m")).alias("p")).collect()]
+    kind = lambda v: (int(v[4:7]) < 200, int(v[4:7]) >= 200 and int(v[9:12]) < 200)
+    assert all(re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", p) and p != n and kind(p) == kind(n) for n, p in zip(numbers, got))
+    assert len(set(got)) == len(numbers)
+
+
+def test_cards_beside_other_digits_and_dates_in_timestamps(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"a {card} 123 b", "4111111111111111 12/25", f"12 {card} x", f"{card}-7", "at 2024-01-05T12:00:00Z", "x 2024-01-05Tea"]
+    new, again = ([r.text for r in P.pseudonymised(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").coalesce(1)).collect()] for t in (texts, [card, "2024-01-05"]))
+    assert luhn(again[0].replace(" ", "")) and again[0] != card
+    bare = again[0].replace(" ", "")
+    assert new == [f"a {again[0]} 123 b", f"{bare} 12/25", f"12 {again[0]} x", f"{again[0]}-7", f"at {again[1]}T12:00:00Z", texts[-1]]
+
+
+def test_no_value_is_left_in_clear_on_the_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    pairs = P.pseudonymised(docs).select(F.col("row.text").alias("old"), "text").collect()
+    phone, ip, ssn = r"\+1 \(\d{3}\) \d{3}-\d{4}(?!\d)", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", r"(?<![\w-])[0-8]\d\d-\d\d-\d{4}(?![\w-])"
+    seen = left = 0
+    for old, new in pairs:
+        for pattern in (phone, ip, ssn):
+            was, now = (re.findall(pattern, t or "") for t in (old, new))
+            assert len(was) == len(now)
+            seen, left = seen + len(was), left + sum(a == b for a, b in zip(was, now))
+        digits = [re.findall(r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])", t or "") for t in (old, new)]
+        assert len(digits[0]) == len(digits[1])
+        cards = [(a, b) for a, b in zip(*digits) if luhn(re.sub(r"\D", "", a))]
+        seen, left = seen + len(cards), left + sum(a == b for a, b in cards)
+    assert seen > 159 and left == 0
