@@ -8,7 +8,8 @@ surroundings (path or URL, quotes, assignment, words before it that name secrets
 
 The forest is trained from labelled findings: a frame of (before, value, after, secret), by default
 `labelled_findings`, which sets known key formats and known harmless formats among words of the corpus; the
-corpus's own findings are never trained on. Words come from at most `WORD_ROWS` distinct texts (smallest hashes).
+corpus's own findings are never trained on. Words and character pairs are counted over all texts; the scorer holds those
+with at least one in `WORDS` of all occurrences, so never more than `WORDS` of each.
 
 Defined results: a null text has no findings; overlapping candidates give the assigned one; rows that repeat are each
 scanned; an empty table has no findings. Offsets count characters.
@@ -27,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read
+from .common import Steps, read
 
-WORD_ROWS, WORDS, FINDINGS, SEED = 2_000, 20_000, 6_000, 11
+WORDS, FINDINGS, SEED = 500_000, 6_000, 11
 TREES, DEPTH, LEAF, BINS, LEAST = 60, 9, 4, 16, 0.5
 MASK = "[SECRET]"
 
@@ -66,9 +67,10 @@ def candidates(text: str) -> list[tuple[int, int]]:
 class Language:
     """What is usual in the corpus: its words, and how often one character follows another inside them."""
 
-    def __init__(self, words: list[str]):
-        pairs = Counter(p for w in words for p in zip(w, w[1:]))
-        firsts = Counter(c for w in words for c in w[:-1])
+    def __init__(self, words: list[str], pairs: dict | None = None, firsts: dict | None = None):
+        if pairs is None or firsts is None:  # counted in the words given
+            pairs = Counter(p for w in words for p in zip(w, w[1:]))
+            firsts = Counter(c for w in words for c in w[:-1])
         self.follow = {p: math.log2((n + 1) / (firsts[p[0]] + 64)) for p, n in pairs.items()}
         self.words = {w for w in words if len(w) >= 4}
 
@@ -144,19 +146,27 @@ class Forest:
         return total / len(self.trees)
 
 
-def corpus_words(docs: DataFrame, rows: int = WORD_ROWS, words: int = WORDS) -> list[str]:
-    """The most frequent words of letters in a bounded sample of the texts, for `Language`.
+def corpus_statistics(docs: DataFrame, most: int = WORDS) -> tuple[list[str], dict[tuple[str, str], int], dict[str, int]]:
+    """Words of letters (most frequent first), pairs of characters in them, and first characters of pairs with their counts.
 
-    The sample is drawn from the distinct texts in the lowest share of hashes that about four times ``rows`` rows have,
-    so that few texts, and a text with many copies once, meet where they are ordered.
+    All rows count. Of words and of pairs those are returned that have at least one in ``most`` of all occurrences, which
+    no more than ``most`` can have; first characters are no more than there are letters.
     """
-    texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    share = min(1.0, 4 * rows / max(texts.count(), 1))
-    lowest = texts.select(F.xxhash64("text").alias("h"), "text").where(F.col("h") <= int(-(2**63) + share * (2**64 - 2**11)))
-    sample = lowest.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(rows)
-    each = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![\p{L}\p{N}])\p{L}{2,24}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
-    top = each.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words)
-    return [r["w"] for r in top.collect()]
+    steps = Steps(docs.sparkSession, "secrets")
+    each = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"(?<![\p{L}\p{N}])\p{L}{2,24}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
+    words = steps.keep(each.groupBy("w").agg(F.count("*").alias("n")), "words")
+    inside = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring(F.col("w"), i, F.lit(2)))
+    pairs = steps.keep(words.select(F.explode(inside).alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n")), "pairs")
+
+    def frequent(counted: DataFrame, name: str):
+        total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        table = counted.where(F.col("n") * most >= total).select(name, "n").toArrow()
+        return sorted(zip(table.column(0).to_pylist(), table.column(1).to_pylist()), key=lambda x: (-x[1], x[0]))
+
+    firsts = pairs.groupBy(F.substring("p", 1, 1).alias("c")).agg(F.sum("n").alias("n"))
+    found = [w for w, _ in frequent(words, "w")], {(p[0], p[1]): n for p, n in frequent(pairs, "p")}, {r["c"]: r["n"] for r in firsts.collect()}
+    steps.drop("words", "pairs")
+    return found
 
 
 def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, int]]:
@@ -201,8 +211,8 @@ def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = SEED) ->
 class Scanner:
     """The trained scanner; a few megabytes, sent to the tasks as it is."""
 
-    def __init__(self, words: list[str], labelled: list[tuple[str, str, str, int]]):
-        self.language = Language(words)
+    def __init__(self, words: list[str], labelled: list[tuple[str, str, str, int]], pairs: dict | None = None, firsts: dict | None = None):
+        self.language = Language(words, pairs, firsts)
         x = np.array([features(self.language, b[-BEFORE:], v, a[:AFTER]) for b, v, a, _ in labelled])
         self.forest = Forest(x, np.array([s for *_, s in labelled], float))
 
@@ -225,11 +235,11 @@ class Scanner:
 
 def fit(docs: DataFrame, findings: DataFrame | None = None) -> Scanner:
     """A scanner trained on ``findings`` (before, value, after, secret; at most `FINDINGS` of them), or on generated ones."""
-    words = corpus_words(docs)
+    words, pairs, firsts = corpus_statistics(docs)
     if findings is None:
-        return Scanner(words, labelled_findings(words))
+        return Scanner(words, labelled_findings(words), pairs, firsts)
     given = findings.select("before", "value", "after", F.col("secret").cast("int").alias("secret")).na.drop()
-    return Scanner(words, [tuple(r) for r in given.orderBy(F.xxhash64("before", "value", "after")).limit(FINDINGS).collect()])
+    return Scanner(words, [tuple(r) for r in given.orderBy(F.xxhash64("before", "value", "after")).limit(FINDINGS).collect()], pairs, firsts)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:

@@ -78,3 +78,15 @@ def test_given_findings(spark):
 def test_empty(spark):
     assert secrets.scan(empty(spark)).collect() == []
     assert secrets.masked_documents(empty(spark)).collect() == []
+
+
+def test_statistics_count_all_texts(spark):
+    """Words of many rare texts, and of few texts among many copies, are all known."""
+    rare = spark.range(12_000).select(F.concat(F.lit("zq common "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"), F.lit("rare")).alias("text"))
+    words, pairs, firsts = secrets.corpus_statistics(rare)
+    assert len(words) == 12_002 and pairs["z", "q"] == 12_000 == firsts["z"] and pairs["r", "a"] == 12_000
+    copies = spark.range(60_000).select(F.when(F.col("id") < 3, F.concat(F.lit("text number "), F.element_at(F.array(*map(F.lit, ["one", "two", "three"])), (F.col("id") + 1).cast("int")))).otherwise(F.lit("many copies")).alias("text"))
+    words, _, _ = secrets.corpus_statistics(copies.repartition(7))
+    assert set(words) == {"many", "copies", "text", "number", "one", "two", "three"}
+    words, pairs, _ = secrets.corpus_statistics(copies, most=10)  # no more than the bound
+    assert set(words) == {"many", "copies"} and len(pairs) <= 10
