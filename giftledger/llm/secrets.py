@@ -11,6 +11,9 @@ The forest is trained from labelled findings: a frame of (before, value, after,
 corpus's own findings are never trained on. Words and character pairs are counted over all texts; the scorer holds those
 with at least one in `WORDS` of all occurrences, so never more than `WORDS` of each.
 
+Values that are no secret, and values that hold a URL, are looked at again inside: `name=value` and `name:value` in
+them, the latter up to the next separator, and runs. If one of those is a secret, they take the place of the whole value.
+
 Defined results: a null text has no findings; overlapping candidates give the assigned one; rows that repeat are each
 scanned; an empty table has no findings. Offsets count characters.
 """
@@ -36,6 +39,8 @@ MASK = "[SECRET]"
 
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")  # "=" only pads: before a value it assigns
 ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"']?([^\s\"'&,;<>()\[\]{}|]{8,})")
+#: Assigned inside a value: after "=" up to the next "=" or the "?" of a query, after ":" up to the next ":" too; padding at the end belongs to it.
+INSIDE = re.compile(r"=((?:[^=?]|\?(?![\w.-]{1,40}=)){8,}(?:={1,2}\Z)?)|:((?:[^=:?]|\?(?![\w.-]{1,40}=)){8,}(?:={1,2}\Z)?)")
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
 NAME = re.compile(r"([A-Za-z][\w.-]{0,40})[\"']?[ \t]{0,3}$")
 # fixed values: words that name secrets, and words that name harmless identifiers
@@ -44,26 +49,46 @@ HARMLESS_WORDS = ("sha", "sha1", "sha256", "md5", "commit", "hash", "checksum",
 BEFORE, AFTER = 60, 20
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Start and end of each candidate, in order, none overlapping."""
-    found = [(m.start(), m.end()) for m in KEY_BLOCK.finditer(text)] if "PRIVATE KEY" in text else []
-    for m in ASSIGNED.finditer(text):
-        value = m.group(1)
-        if not value.startswith("//") and not value.isalpha() and re.search(r"[A-Za-z]", value):
-            found.append(m.span(1))
-    for m in RUN.finditer(text):
-        value = m.group()
-        if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
-            found.append(m.span())
-    found.sort(key=lambda s: (s[0], -s[1]))
+def _assignable(value: str) -> bool:
+    return not value.startswith("//") and not value.isalpha() and re.search(r"[A-Za-z]", value) is not None
+
+
+def _runs(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    return [m.span() for m in RUN.finditer(text, start, end) if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group())]
+
+
+def _outermost(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     kept, end = [], 0
-    for a, b in found:
+    for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
         if a >= end:
             kept.append((a, b))
             end = b
     return kept
 
 
+def _assigned_inside(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Values assigned inside text[start:end]; an end of the slice is an end of the value."""
+    spans = [(start + m.start(m.lastindex), start + m.end(m.lastindex)) for m in INSIDE.finditer(text[start:end])]
+    return [(a, b) for a, b in spans if _assignable(text[a:b])]
+
+
+def candidates_inside(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Start and end of each smaller candidate in the value text[start:end], in order, none overlapping."""
+    found = _assigned_inside(text, start, end) + _runs(text, start, end)
+    return _outermost([s for s in found if s != (start, end)])
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Start and end of each candidate, in order, none overlapping."""
+    found = [(m.start(), m.end()) for m in KEY_BLOCK.finditer(text)] if "PRIVATE KEY" in text else []
+    for m in ASSIGNED.finditer(text):
+        if _assignable(m.group(1)):
+            found.append(m.span(1))
+        elif m.group(1).startswith("//"):
+            found += _assigned_inside(text, *m.span(1))
+    return _outermost(found + _runs(text, 0, len(text)))
+
+
 class Language:
     """What is usual in the corpus: its words, and how often one character follows another inside them."""
 
@@ -219,8 +244,16 @@ class Scanner:
     def find(self, text: str | None) -> list[tuple[int, int, float]]:
         """Start, end and score of each candidate."""
         text = text or ""
-        return [(a, b, self.forest.score(features(self.language, text[max(0, a - BEFORE):a], text[a:b], text[b:b + AFTER])))
-                for a, b in candidates(text)]
+        return [found for a, b in candidates(text) for found in self._refined(text, a, b)]
+
+    def _refined(self, text: str, a: int, b: int) -> list[tuple[int, int, float]]:
+        """The candidate, or the smaller ones inside it if one of them is a secret."""
+        score = self.forest.score(features(self.language, text[max(0, a - BEFORE):a], text[a:b], text[b:b + AFTER]))
+        if score < LEAST or "://" in text[a:b]:
+            inner = [found for c, d in candidates_inside(text, a, b) for found in self._refined(text, c, d)]
+            if any(s >= LEAST for *_, s in inner):
+                return inner
+        return [(a, b, score)]
 
     def masked(self, text: str | None) -> str | None:
         if text is None:
