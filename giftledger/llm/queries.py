@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lempel_ziv, mixing, neighbours, pseudonyms, quality, secrets, simhash, suffixes, toxicity
+from . import decontaminate, lempel_ziv, manifest, mixing, neighbours, pseudonyms, quality, secrets, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pseudonyms": pseudonyms.op8_pseudonyms,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_merkle_manifest": manifest.op11_merkle_manifest,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
