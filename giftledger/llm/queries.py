@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lempel_ziv, manifest, mixing, neighbours, pseudonyms, quality, secrets, simhash, suffixes, toxicity
+from . import decontaminate, lempel_ziv, manifest, mixing, neighbours, products, pseudonyms, quality, secrets, simhash, suffixes, toxicity, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -16,8 +16,11 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_merkle_manifest": manifest.op11_merkle_manifest,
+    "op12_largest_products": products.op12_largest_products,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
+    "op12_largest_products": products.OP12_SQL,
 }
