@@ -210,3 +210,58 @@ def op11_merkle_manifest(spark, sf_dir):
     rows = made.leaves.select("doc_id", "leaf", "subroot", F.lit(made.root).alias("root"), F.sha2(siblings, 256).alias("proof_sha256"),
                               folded(F.coalesce("claimed", "leaf"), F.col("path")).alias("folded_root"))
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP11_SQL = """
+WITH RECURSIVE lowered AS (
+    SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text,
+        xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) AS crc
+    FROM documents
+), fields AS (
+    SELECT doc_id, source, crc,
+        concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+            coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+        coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(lower_text) || ':' || lower_text, '-') AS lower_body
+    FROM lowered
+), leaves AS (
+    SELECT doc_id, coalesce('=' || source, '') AS grp, sha256(head || body) AS leaf,
+        CASE WHEN crc % 5 = 0 THEN sha256(head || lower_body) ELSE sha256(head || body) END AS claimed
+    FROM fields
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY grp) AS size FROM leaves
+), nodes AS (
+    SELECT grp, 0 AS level, place, size, leaf AS digest FROM placed
+    UNION ALL
+    SELECT grp, level + 1, place // 16, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+    FROM nodes WHERE size > 1 GROUP BY grp, level, place // 16, size
+), subroots AS (
+    SELECT grp, digest, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS size FROM nodes WHERE size = 1
+), crown AS (
+    SELECT 0 AS level, place, size, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 16, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+    FROM crown WHERE size > 1 GROUP BY level, place // 16, size
+), runs AS (
+    SELECT grp, level, place // 16 AS run, list(digest ORDER BY place) AS digests FROM nodes WHERE size > 1 GROUP BY ALL
+), crown_runs AS (
+    SELECT level, place // 16 AS run, list(digest ORDER BY place) AS digests FROM crown WHERE size > 1 GROUP BY ALL
+), walk AS (
+    SELECT grp, place AS leaf_place, 0 AS level, place, size, claimed AS node, '' AS proof FROM placed
+    UNION ALL
+    SELECT w.grp, leaf_place, w.level + 1, place // 16, (size + 15) // 16,
+        sha256(array_to_string(list_concat(digests[:place % 16], [node], digests[place % 16 + 2:]), '')),
+        proof || array_to_string(list_concat(digests[:place % 16], digests[place % 16 + 2:]), '')
+    FROM walk w JOIN runs r ON w.grp = r.grp AND w.level = r.level AND w.place // 16 = r.run
+), upper AS (
+    SELECT w.grp, leaf_place, 0 AS level, s.place, s.size, node, proof FROM walk w JOIN subroots s ON w.grp = s.grp WHERE w.size = 1
+    UNION ALL
+    SELECT u.grp, leaf_place, u.level + 1, place // 16, (size + 15) // 16,
+        sha256(array_to_string(list_concat(digests[:place % 16], [node], digests[place % 16 + 2:]), '')),
+        proof || array_to_string(list_concat(digests[:place % 16], digests[place % 16 + 2:]), '')
+    FROM upper u JOIN crown_runs r ON u.level = r.level AND u.place // 16 = r.run
+)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, c.digest AS root, sha256(u.proof) AS proof_sha256, u.node AS folded_root, u.node = c.digest AS verified
+FROM upper u JOIN placed p ON u.grp = p.grp AND u.leaf_place = p.place JOIN subroots s ON u.grp = s.grp JOIN crown c ON c.size = 1
+WHERE u.size = 1
+"""

@@ -181,9 +181,9 @@ def op12_largest_products(spark, sf_dir):
 
 OP12_SQL = """
 WITH whole AS (
-    SELECT vec_id, list_transform(embedding, c -> floor(1024 * c::DOUBLE)) AS x
+    SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x
     FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), pairs AS (
     SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.x, v.x)::BIGINT AS score
     FROM whole q JOIN whole v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id

@@ -22,5 +22,6 @@ QUERIES = {
 ORACLES = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op6_decontaminate": decontaminate.OP6_SQL,
+    "op11_merkle_manifest": manifest.OP11_SQL,
     "op12_largest_products": products.OP12_SQL,
 }
