@@ -14,7 +14,7 @@ Labels, language, source and id are no inputs.
 
 Defined results: a null text is scored as an empty one, by the overall share; ids with several labels take their
 majority; rows that repeat are each scored; of rows that repeat an id one is learned from; without labels every
-score is 0; an empty table gives no rows. A null id is scored and is not held out.
+score is 0.0, with toxic labels only 1.0; an empty table gives no rows. A null id is scored and is not held out.
 """
 
 from __future__ import annotations
@@ -59,7 +59,8 @@ class Machine:
     def __init__(self, buckets: list[int], share: float):
         draw = np.random.default_rng(SEED)
         self.place = {b: i for i, b in enumerate(buckets)}
-        self.bias = math.log(share / (1 - share)) if 0 < share < 1 else (-40.0 if share <= 0 else 40.0)
+        self.constant = None if 0 < share < 1 else float(share)  # rows of one kind only teach nothing but that
+        self.bias = math.log(share / (1 - share)) if self.constant is None else 0.0
         self.linear = np.zeros(len(buckets))
         self.vectors = draw.normal(0, 0.01, (len(buckets), RANK))
         self._seen: dict[str, tuple[int, ...]] = {}
@@ -81,6 +82,8 @@ class Machine:
         return np.array(at, np.int64), np.array([density(found[p], total) for p in at])
 
     def score(self, at: np.ndarray, values: np.ndarray) -> float:
+        if self.constant is not None:
+            return self.constant
         parts = self.vectors[at] * values[:, None]
         pairs = 0.5 * (parts.sum(axis=0) ** 2 - (parts**2).sum(axis=0)).sum()
         z = float(self.bias + self.linear[at] @ values + pairs)
