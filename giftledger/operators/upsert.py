@@ -1,7 +1,8 @@
-"""Insert-or-replace by key on plain Parquet tables."""
+"""Insert-or-replace by key on versioned Parquet tables."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LOAD_DATE
-from ..sources.tables import read_table, replace_partitions
+from ..sources import versions as V
+from ..sources.keys import HASHES, MOST, append, build, content_hashes, empty, latest
+from ..sources.tables import read_dates, write_version
 from ..sources.workspace import materialized
 
 RECORD_KEY = ("sub_id",)
@@ -79,61 +82,127 @@ def require_unique_keys(df: DataFrame, keys: Sequence[str] = RECORD_KEY) -> None
         raise KeyViolation(f"{found['null_keys']} rows with a null key, {found['repeated_keys']} repeated keys")
 
 
-def _key_range(batch: DataFrame, key: str) -> Column:
-    """Predicate for the span of key values in the batch; lets the scan skip row groups by their statistics."""
-    span = batch.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    return F.col(key).between(F.lit(span["low"]), F.lit(span["high"]))
+def changes(
+    batch: DataFrame, held: DataFrame, buckets: int, keys: Sequence[str] = RECORD_KEY, day: date | None = None
+) -> DataFrame:
+    """What a batch does to each key of a table: keys, `new_date`, `old_date`, `rows` of the batch, and `change`.
+
+    ``held``: keys, load date and content hashes of the table, as its key index has them. A full outer comparison:
+    `insert`, `update` (other content or another load date), `same`, `keep` (not in the batch), and, where the batch
+    is all there is of ``day``, `delete` for keys of that day which the batch does not have. The batch is dealt into the
+    index's ``buckets``; the history is not shuffled.
+    """
+    sent = batch.repartition(buckets, *keys).groupBy(*keys).agg(
+        F.count("*").alias("rows"), F.max(LOAD_DATE).alias("new_date"), *[F.max(h).alias(f"new_{h}") for h in HASHES]
+    )
+    both = held.withColumnRenamed(LOAD_DATE, "old_date").join(sent, list(keys), "full")
+    same = (F.col("new_date") == F.col("old_date")) & reduce(lambda a, b: a & b, [F.col(h) == F.col(f"new_{h}") for h in HASHES])
+    withdrawn = F.lit(False) if day is None else F.col("old_date") == F.lit(day)
+    change = (
+        F.when(F.col("rows").isNull(), F.when(withdrawn, "delete").otherwise("keep"))
+        .when(F.col("old_date").isNull(), "insert")
+        .when(same, "same")
+        .otherwise("update")
+    )
+    return both.select(*keys, "new_date", "old_date", "rows", change.alias("change"))
 
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """Rows of the batch, rows written in the partitions it concerned, and those partitions."""
+    """Rows of the batch, rows written, the partitions concerned, those left empty, and keys by kind of change."""
 
     rows_in: int
     rows_written: int
     load_dates: tuple[date, ...] = ()
     emptied: tuple[date, ...] = ()
+    inserted: int = 0
+    updated: int = 0
+    deleted: int = 0
+    unchanged: int = 0
+
+
+#: A part that only gains rows gets a version more, up to this many; then it is written as one again.
+MOST_VERSIONS = 8
 
 
 def upsert_table(
-    spark: SparkSession, path: str, schema: T.StructType, source: DataFrame, keys: Sequence[str] = RECORD_KEY
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    source: DataFrame,
+    keys: Sequence[str] = RECORD_KEY,
+    day: date | None = None,
 ) -> UpsertResult:
-    """Upsert ``source`` into the partitioned table at ``path``, rewriting only the partitions it concerns.
+    """Upsert ``source`` into the versioned table at ``path``, rewriting only the partitions it concerns.
 
     Those are the partitions the batch has rows for and those that hold a row the batch replaces, which may lie
-    under another load date. Finding the latter reads the key column alone, within the batch's key range. The counts
-    then decide what has to be read in full: a partition whose rows are all replaced (the rerun of a day) is not read,
-    one without a replaced row is carried over as it is, and only the others are joined. What comes to the driver is
-    a count per load date.
+    under another load date. One comparison of the batch with the table's key index finds them all, without reading
+    the table. A partition whose rows are all replaced is not read either, one that only gains rows gets them as a
+    further version, and only the others are joined; a batch that changes nothing writes nothing. Rows and index are
+    published by one manifest. What comes to the driver is a count for each pair of load dates.
+
+    With ``day`` the batch is all there is of that load date: records it no longer has are withdrawn.
     """
-    with materialized(source.select(*schema.fieldNames()), "upsert-batch") as batch:
-        incoming = {row[LOAD_DATE]: row["n"] for row in batch.groupBy(LOAD_DATE).agg(F.count("*").alias("n")).collect()}
-        rows_in = sum(incoming.values())
-        if rows_in == 0:
-            return UpsertResult(0, 0)
-        if None in incoming:
-            raise KeyViolation("a row without a load date belongs to no partition")
-        require_unique_keys(batch, keys)
-
-        target = read_table(spark, path, schema)
-        batch_keys = batch.select(*keys)
-        replaced = (
-            target.where(_key_range(batch, keys[0]))
-            .join(batch_keys, list(keys), "left_semi")
-            .groupBy(LOAD_DATE)
-            .agg(F.count("*").alias("n"))
+    with materialized(source.select(*schema.fieldNames()), "upsert-batch") as rows:
+        base = V.current(spark, path) or V.Manifest()
+        seq, version = base.number + 1, V.new_version()
+        hashed = rows.select(*keys, LOAD_DATE, *content_hashes(schema, keys))
+        index = base.index
+        if index is None or index.keys != tuple(keys):
+            index = empty(spark, keys)
+            if base.parts:
+                table = read_dates(spark, path, schema, base.parts, base)
+                index = build(spark, path, schema, index, table.select(*keys, LOAD_DATE, *content_hashes(schema, keys)), base.number)
+        compared = changes(hashed, latest(spark, path, schema, index), index.buckets, keys, day)
+        counted = compared.groupBy("new_date", "old_date", "change").agg(
+            F.count("*").alias("keys"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.count_if((F.col("rows") > 1) & ~_some_null(keys)).alias("repeated"),
+            F.coalesce(F.sum(F.when(_some_null(keys), F.col("rows"))), F.lit(0)).alias("null_keys"),
         )
-        matched = {row[LOAD_DATE]: row["n"] for row in replaced.collect()}
-        held = target.where(F.col(LOAD_DATE).isin(*matched)).groupBy(LOAD_DATE).agg(F.count("*").alias("n"))
-        total = {row[LOAD_DATE]: row["n"] for row in held.collect()} if matched else {}
-
-        concerned = sorted(set(incoming) | set(matched))
-        emptied = [d for d in matched if matched[d] == total[d] and d not in incoming]
-        partly = [d for d in matched if matched[d] < total[d]]
-        kept_whole = [d for d in incoming if d not in matched]
-        merged = batch
+        counts = counted.collect()  # one row for each pair of load dates and kind of change
+        total = lambda n, *kinds: sum(r[n] for r in counts if not kinds or r["change"] in kinds)
+        rows_in = total("rows")
+        if any(r["rows"] and r["new_date"] is None for r in counts):
+            raise KeyViolation("a row without a load date belongs to no partition")
+        if total("null_keys") or total("repeated"):
+            raise KeyViolation(f"{total('null_keys')} rows with a null key, {total('repeated')} repeated keys")
+        if rows_in == 0 and not total("keys", "delete"):
+            return UpsertResult(0, 0)
+
+        incoming, gone, rest = Counter(), Counter(), Counter()
+        for r in counts:
+            incoming[r["new_date"]] += r["rows"]
+            (rest if r["change"] == "keep" else gone)[r["old_date"]] += r["keys"]
+        concerned = sorted(d for d in {*incoming, *gone} if d and (incoming[d] or gone[d]))
+        kinds = {n: total("keys", k) for n, k in (("inserted", "insert"), ("updated", "update"), ("deleted", "delete"), ("unchanged", "same"))}
+        if not (kinds["inserted"] or kinds["updated"] or kinds["deleted"]):
+            if index != base.index:
+                V.commit(spark, path, base, base.parts, index, base.columns)
+            return UpsertResult(rows_in, 0, tuple(concerned), (), **kinds)
+
+        partly = [d for d in concerned if gone[d] and rest[d]]
+        grows = [d for d in concerned if not gone[d] and d in base.parts]
+        full = [d for d in grows if len(base.parts[d]) >= MOST_VERSIONS]
+        merged = rows
         if partly:
-            merged = merge_rows(target.where(F.col(LOAD_DATE).isin(*partly)), batch, keys)
-        merged = target.where(F.col(LOAD_DATE).isin(*kept_whole)).unionByName(merged) if kept_whole else merged
-        rows = replace_partitions(merged, path, emptied)
-        return UpsertResult(rows_in, rows, tuple(concerned), tuple(emptied))
+            dropped = compared.where("change IN ('update', 'same', 'delete')").select(*keys)
+            kept = read_dates(spark, path, schema, partly, base).join(dropped, list(keys), "left_anti")
+            merged = merged.unionByName(kept.select(*schema.fieldNames()))
+        if full:
+            merged = merged.unionByName(read_dates(spark, path, schema, full, base))
+        written, dates = write_version(merged, path, version)
+
+        delta = hashed
+        if kinds["deleted"]:
+            none = [F.lit(None).cast("date").alias(LOAD_DATE), *[F.lit(None).cast("bigint").alias(h) for h in HASHES]]
+            delta = delta.unionByName(compared.where("change = 'delete'").select(*keys, *none))
+        index = append(spark, path, schema, index, delta, seq, version)
+        if len(index.versions) > MOST:
+            index = build(spark, path, schema, empty(spark, keys, index.buckets), latest(spark, path, schema, index), seq)
+        parts = {d: v for d, v in base.parts.items() if d not in concerned}
+        for d in dates:
+            parts[d] = (*base.parts[d], version) if d in grows and d not in full else (version,)
+        V.commit(spark, path, base if base.number else None, parts, index, base.columns)
+        emptied = tuple(d for d in concerned if d in base.parts and d not in parts)
+        return UpsertResult(rows_in, written, tuple(concerned), emptied, **kinds)

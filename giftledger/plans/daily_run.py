@@ -16,6 +16,7 @@ from ..operators.staging import add_load_date, build_staging, enforce_raw_schema
 from ..operators.upsert import UpsertResult, upsert_table
 from ..schemas import DIM_DONORS, LOAD_DATE, MART, RAW, STAGING, UNRESOLVED
 from ..sources import tables as tb
+from ..sources import versions as V
 from ..sources.delimited import good_rows, read_headerless, read_identity_fixture, read_with_header, require_well_formed
 from .runlog import FAIL, PASS, log_task
 
@@ -71,6 +72,7 @@ class Options:
     zero_zip_is_null: bool = False
     scope: str = "date"
     lenient_dates: bool = False
+    keep: int = V.KEEP  # states of each table that a finished run leaves for readers
     limits: Q.Limits = field(default_factory=Q.Limits)
     rules: ScoreRules = field(default_factory=ScoreRules)
 
@@ -107,9 +109,10 @@ def ingest_raw(spark: SparkSession, source: DataFrame, execution_date: date, tab
 def run_staging(
     spark: SparkSession, raw_table: str, table: str, execution_date: date, lenient_dates: bool = False
 ) -> UpsertResult:
+    """Stage the raw records of one day; staged records of that day that were not sent again are withdrawn."""
     tb.ensure_table(spark, table, STAGING)
     raw = tb.read_partition(spark, raw_table, RAW, execution_date)
-    return upsert_table(spark, table, STAGING, build_staging(raw, lenient_dates))
+    return upsert_table(spark, table, STAGING, build_staging(raw, lenient_dates), day=execution_date)
 
 
 def run_identity(
@@ -120,20 +123,20 @@ def run_identity(
     mode: str = "inherit_min",
     zero_zip_is_null: bool = False,
     scope: str = "date",
+    day: date | None = None,
 ) -> UpsertResult:
     """Resolve the staged rows (of one load date or of many) and upsert them into the donor dimension.
 
-    In route mode the records with several candidate donors also show up in the review table.
+    ``day``: the staged rows are all there is of that load date, so its other records leave the dimension. In route mode the records with several candidate donors also show up in the review table.
     """
     tb.ensure_table(spark, dim_table, DIM_DONORS)
     tb.ensure_table(spark, unresolved_table, UNRESOLVED)
-    result = upsert_table(spark, dim_table, DIM_DONORS, resolve_identity(staged, mode, zero_zip_is_null, scope))
-    if result.rows_in:
+    result = upsert_table(spark, dim_table, DIM_DONORS, resolve_identity(staged, mode, zero_zip_is_null, scope), day=day)
+    if result.load_dates:
         # The review table mirrors the flagged rows of the dimension, for every load date the upsert concerned.
         touched = tb.read_table(spark, dim_table, DIM_DONORS).where(F.col(LOAD_DATE).isin(*result.load_dates))
         flagged = unresolved_rows(touched)
-        with_flags = {row[LOAD_DATE] for row in flagged.select(LOAD_DATE).distinct().collect()}
-        tb.replace_partitions(flagged, unresolved_table, emptied=set(result.load_dates) - with_flags)
+        tb.replace_partitions(flagged, unresolved_table, emptied=result.load_dates)
     return result
 
 
@@ -141,13 +144,8 @@ def rebuild_identity(spark: SparkSession, staged: DataFrame, dim_table: str, unr
     """Resolve everything again and replace the whole dimension and review table, load dates that have gone included."""
     tb.ensure_table(spark, dim_table, DIM_DONORS)
     tb.ensure_table(spark, unresolved_table, UNRESOLVED)
-    dates = {row[LOAD_DATE] for row in staged.select(LOAD_DATE).distinct().collect()}
-    old = {row[LOAD_DATE] for row in tb.read_table(spark, dim_table, DIM_DONORS).select(LOAD_DATE).distinct().collect()}
-    rows = tb.replace_partitions(resolve_identity(staged, **choices), dim_table, emptied=sorted(old - dates))
-    flagged = unresolved_rows(tb.read_table(spark, dim_table, DIM_DONORS))
-    listed = tb.read_table(spark, unresolved_table, UNRESOLVED)
-    now, before = ({row[LOAD_DATE] for row in t.select(LOAD_DATE).distinct().collect()} for t in (flagged, listed))
-    tb.replace_partitions(flagged, unresolved_table, emptied=sorted(before - now))
+    rows = tb.replace_partitions(resolve_identity(staged, **choices), dim_table, emptied=None)
+    tb.replace_partitions(unresolved_rows(tb.read_table(spark, dim_table, DIM_DONORS)), unresolved_table, emptied=None)
     return rows
 
 
@@ -239,6 +237,7 @@ def run_day(
             options.conflict_mode,
             options.zero_zip_is_null,
             options.scope,
+            execution_date,
         )
         return staged_rows, done.rows_in
 
@@ -260,4 +259,6 @@ def run_day(
     mart = spark.read.schema(MART).parquet(tb.snapshot_path(warehouse.mart, run_id))
     gate(CHECK_MART, mart_rows, mart, MART, mart_gate(mart, limits))
     tb.publish_snapshot(spark, warehouse.mart, run_id)
+    for table in (warehouse.raw, warehouse.staging, warehouse.dim_donors, warehouse.unresolved, warehouse.mart):
+        V.sweep(spark, table, options.keep)
     return run_id

@@ -7,7 +7,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RUN_LOG
-from ..sources.tables import append_rows, read_table
+from ..sources.tables import append_rows, read_rows
 
 PASS, FAIL = "PASS", "FAIL"
 
@@ -30,4 +30,4 @@ def log_task(
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, RUN_LOG)
+    return read_rows(spark, path, RUN_LOG)

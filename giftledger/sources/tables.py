@@ -1,12 +1,12 @@
-"""Parquet tables partitioned by load date, and snapshot tables behind a pointer.
+"""Versioned Parquet tables partitioned by load date, snapshot tables, and plain folders of rows.
 
-Writers replace whole partitions in one job. Row counts are observed in that same job, so nothing is scanned twice
-to learn them. One writer per table at a time is assumed, as with any plain Parquet table.
+A write makes a version folder of its own in one job and is published by one manifest (`sources.versions`), so a
+crash at any step leaves the table as it was. Row counts are observed in the writing job, so nothing is scanned twice to learn them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,24 +14,57 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LOAD_DATE
-from .workspace import delete_path, path_exists, write_text
+from . import versions as V
+from .workspace import list_names
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """Create an empty partitioned table unless the path exists; tells whether it was created."""
-    if path_exists(spark, path):
+    """Create an empty partitioned table unless there is one; tells whether it was created."""
+    if LOAD_DATE not in schema.fieldNames():
+        raise ValueError(f"a partitioned table needs the column {LOAD_DATE}")
+    if V.current(spark, path) is not None:
+        return False
+    try:
+        V.commit(spark, path, None, {})
+    except V.ConcurrentWrite:
         return False
-    spark.createDataFrame([], schema).write.partitionBy(LOAD_DATE).parquet(path)
     return True
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType, parts: Mapping[date | None, Sequence[str]]) -> DataFrame:
+    folders = [part_path(path, version, day) for day, held in sorted(parts.items()) for version in held]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    base = f"{path.rstrip('/')}/versions"
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*schema.fieldNames())
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The table as its newest manifest has it; later writes do not change what this DataFrame reads."""
+    manifest = V.current(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return _read(spark, path, schema, manifest.parts)
 
 
 def read_partition(spark: SparkSession, path: str, schema: T.StructType, load_date: date) -> DataFrame:
-    """Rows of one load date; the comparison is on the date itself, so only that partition is listed and read."""
-    return read_table(spark, path, schema).where(F.col(LOAD_DATE) == F.lit(load_date))
+    """Rows of one load date: only its folders are listed and read."""
+    manifest = V.current(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"no table at {path}")
+    held = {load_date: manifest.parts[load_date]} if load_date in manifest.parts else {}
+    return _read(spark, path, schema, held).where(F.col(LOAD_DATE) == F.lit(load_date))
+
+
+def read_dates(spark: SparkSession, path: str, schema: T.StructType, dates: Iterable[date], manifest: V.Manifest) -> DataFrame:
+    """Rows of some load dates, in the state of a given manifest."""
+    return _read(spark, path, schema, {d: manifest.parts[d] for d in dates if d in manifest.parts})
+
+
+def load_dates(spark: SparkSession, path: str) -> list[date]:
+    """Load dates that have rows, from the manifest alone."""
+    manifest = V.current(spark, path)
+    return sorted(d for d in manifest.parts if d) if manifest else []
 
 
 def partition_row_count(df: DataFrame, load_date: date | None = None) -> DataFrame:
@@ -42,48 +75,61 @@ def partition_row_count(df: DataFrame, load_date: date | None = None) -> DataFra
     return counted.select(F.lit(load_date).alias("load_date"), "row_count")
 
 
-def partition_path(path: str, load_date: date) -> str:
-    return f"{path.rstrip('/')}/{LOAD_DATE}={load_date.isoformat()}"
+def part_path(path: str, version: str, load_date: date | None = None) -> str:
+    folder = V.version_path(path, version)
+    return folder if load_date is None else f"{folder}/{LOAD_DATE}={load_date.isoformat()}"
 
 
-def replace_partitions(df: DataFrame, path: str, emptied: Iterable[date] = ()) -> int:
-    """Replace the partitions that ``df`` has rows for, drop those in ``emptied``, and return the rows written.
-
-    Spark's dynamic overwrite leaves a partition without new rows as it was, so a partition that lost its last row
-    has to be named. Spark's committer replaces one folder after the other: a crash before the commit changes
-    nothing, a crash inside it can leave a partition missing until it is written again.
+def write_version(df: DataFrame, path: str, version: str) -> tuple[int, list[date]]:
+    """Write rows of any number of load dates as one version, which nothing names yet; rows and load dates written.
 
     Each load date is gathered; adaptive execution cuts a large one into several files and joins small ones, so a
     table has files in proportion to its size and not one for each task and date.
     """
-    seen = Observation()
-    (
-        df.hint("rebalance", F.col(LOAD_DATE))
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_DATE)
-        .parquet(path)
-    )
-    for load_date in emptied:
-        delete_path(df.sparkSession, partition_path(path, load_date))
-    return seen.get["rows"]
-
-
-def overwrite_partition(df: DataFrame, path: str, load_date: date) -> int:
-    """Make ``df`` the whole content of one partition, also when it is empty; other partitions stay as they are."""
-    rows = replace_partitions(df.withColumn(LOAD_DATE, F.lit(load_date)), path)
-    if rows == 0:
-        delete_path(df.sparkSession, partition_path(path, load_date))
+    seen, folder = Observation(), V.version_path(path, version)
+    counted = df.hint("rebalance", F.col(LOAD_DATE)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.partitionBy(LOAD_DATE).parquet(folder)
+    names = [n.split("=", 1)[1] for n in list_names(df.sparkSession, folder) if n.startswith(f"{LOAD_DATE}=")]
+    return seen.get["rows"], [date.fromisoformat(n) for n in names]
+
+
+def replace_partitions(
+    df: DataFrame, path: str, emptied: Iterable[date] | None = (), columns: Mapping[date, Mapping[str, str]] | None = None
+) -> int:
+    """Replace the partitions that ``df`` has rows for, drop those in ``emptied`` (None: all others), and return the
+    rows written. ``columns``: unknown source columns of load dates, for the table's record.
+
+    All of it becomes visible at once. A key index beside the table ends with this; the next upsert builds it anew.
+    """
+    spark, version = df.sparkSession, V.new_version()
+    base = V.current(spark, path)
+    rows, dates = write_version(df, path, version)
+    parts = dict(base.parts) if base and emptied is not None else {}
+    for day in emptied or ():
+        parts.pop(day, None)
+    parts.update({day: (version,) for day in dates})
+    known = {**(base.columns if base else {}), **{d: {} for d in dates}, **(columns or {})}
+    V.commit(spark, path, base, parts, columns=known)
     return rows
 
 
+def overwrite_partition(df: DataFrame, path: str, load_date: date, columns: Mapping[str, str] | None = None) -> int:
+    """Make ``df`` the whole content of one partition, also when it is empty; other partitions stay as they are."""
+    return replace_partitions(df.withColumn(LOAD_DATE, F.lit(load_date)), path, [load_date], {load_date: columns or {}})
+
+
 def append_rows(df: DataFrame, path: str) -> None:
+    """Add rows to a plain folder."""
     df.write.mode("append").parquet(path)
 
 
+def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a plain folder."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def snapshot_path(path: str, version: str) -> str:
-    return f"{path.rstrip('/')}/snapshots/{version}"
+    return V.version_path(path, version)
 
 
 def write_snapshot(df: DataFrame, path: str, version: str) -> str:
@@ -94,19 +140,13 @@ def write_snapshot(df: DataFrame, path: str, version: str) -> str:
 
 
 def publish_snapshot(spark: SparkSession, path: str, version: str) -> None:
-    """Point readers at a finished snapshot by replacing one small file."""
-    write_text(spark, f"{path.rstrip('/')}/CURRENT", version)
+    """Make a finished snapshot the whole table."""
+    V.commit(spark, path, V.current(spark, path), {None: (version,)})
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
-    pointer = f"{path.rstrip('/')}/CURRENT"
-    if not path_exists(spark, pointer):
-        return None
-    content = spark.read.text(pointer, wholetext=True).first()
-    version = content["value"].strip() if content else ""
-    if not version:
-        raise ValueError(f"the pointer {pointer} is empty; publish a snapshot again")
-    return version
+    manifest = V.current(spark, path)
+    return manifest.parts[None][0] if manifest and None in manifest.parts else None
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
@@ -46,23 +47,44 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create or replace one small file (used for table pointers).
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where it does not exist."""
+    fs, hadoop_path = _file_system(spark, path)
+    return sorted(item.getPath().getName() for item in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
 
-    The text is written beside and renamed over, so readers find the old content or the new one.
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create one small file, whole or not at all; False where it exists already.
+
+    The text is written beside and renamed to the name, which does not replace a file.
     """
-    beside = f"{path}.{uuid.uuid4().hex}"
-    fs, hadoop_path = _file_system(spark, beside)
-    stream = fs.create(hadoop_path, True)
+    folder, name = path.rsplit("/", 1)
+    fs, beside = _file_system(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
-    replace = spark.sparkContext._gateway.new_array(options, 1)
-    replace[0] = options.OVERWRITE
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
-    context.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(path), replace)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    context = jvm.FileContext.getFileContext(fs.getUri(), fs.getConf())
+    no_options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 0)
+    try:
+        context.rename(beside, jvm.Path(path), no_options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        fs.delete(beside, False)
+        return False
+    return True
 
 
 @contextmanager

@@ -51,7 +51,7 @@ def test_no_query_uses_python_rows_or_cross_joins(spark, name):
 
 def test_staging_is_one_generated_stage_without_a_shuffle(spark, tmp_path):
     raw = S.enforce_raw_schema(contribution_records(spark, SF))
-    raw.write.partitionBy("_load_date").parquet(str(tmp_path / "raw"))
+    tb.replace_partitions(raw, str(tmp_path / "raw"))
     from giftledger.schemas import RAW
 
     staged = S.build_staging(tb.read_partition(spark, str(tmp_path / "raw"), RAW, DAY))
@@ -65,7 +65,7 @@ def test_staging_is_one_generated_stage_without_a_shuffle(spark, tmp_path):
 @pytest.fixture
 def staged_table(spark, tmp_path):
     path = str(tmp_path / "staging")
-    S.build_staging(contribution_records(spark, SF)).write.partitionBy("_load_date").parquet(path)
+    tb.replace_partitions(S.build_staging(contribution_records(spark, SF)), path)
     return tb.read_table(spark, path, STAGING)
 
 
@@ -113,7 +113,7 @@ def test_a_small_lookup_is_broadcast_by_measured_size(spark, staged_table):
 
 def test_mart_reads_few_columns_and_aggregates_before_the_shuffle(spark, staged_table, tmp_path):
     path = str(tmp_path / "dim")
-    I.resolve_identity(staged_table).write.partitionBy("_load_date").parquet(path)
+    tb.replace_partitions(I.resolve_identity(staged_table), path)
     text = plan(M.build_mart(staged_table, tb.read_table(spark, path, DIM_DONORS), DAY))
     assert "ReadSchema: struct<donor_id:string,sub_id:string>" in text
     assert "struct<sub_id:string,contribution_amount:decimal(38,9),contribution_date:date>" in text
@@ -129,7 +129,7 @@ def test_merge_joins_on_the_key_column_alone(spark, staged_table, settings):
 
 def test_point_lookup_reaches_the_scan(spark, staged_table, tmp_path):
     path = str(tmp_path / "dim")
-    I.resolve_identity(staged_table).write.partitionBy("_load_date").parquet(path)
+    tb.replace_partitions(I.resolve_identity(staged_table), path)
     text = plan(I.find_donor(tb.read_table(spark, path, DIM_DONORS), "12", DAY))
     assert "EqualTo(sub_id,12)" in text and "PartitionFilters: [isnotnull(_load_date" in text
 
