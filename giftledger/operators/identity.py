@@ -91,7 +91,8 @@ def rule2_lookup(staged: DataFrame, zero_zip_is_null: bool = False, scope: str =
         .groupBy(*by, "other_zip")
         .agg(F.min("zip_code").alias("low"), F.max("zip_code").alias("high"))
         .select(
-            F.struct(*by).alias("lookup_key"),
+            F.struct(NAME, ADDRESS).alias("lookup_key"),
+            *([F.col(LOAD_DATE).alias("lookup_date")] if scope == "date" else []),
             F.coalesce("other_zip", _zip_text(F.col("low"))).alias("first_zip"),
             F.coalesce("other_zip", _zip_text(F.col("high"))).alias("last_zip"),
         )
@@ -102,11 +103,13 @@ def rule2_keys(
     staged: DataFrame, mode: str = "inherit_min", zero_zip_is_null: bool = False, scope: str = "date"
 ) -> DataFrame:
     records = staged.select(*SLICE).where(no_zip(zero_zip_is_null))
+    # The load date is a join column of its own, so that a filter on it reaches the scan of the lookup, too.
+    same = F.col("record_key") == F.col("lookup_key")
+    if scope == "date":
+        same = same & (F.col(LOAD_DATE) == F.col("lookup_date"))
     found_zips = (
-        records.withColumn("record_key", F.struct(*_scope_columns(scope)))
-        .join(
-            rule2_lookup(staged, zero_zip_is_null, scope), F.col("record_key") == F.col("lookup_key"), "left"
-        )
+        records.withColumn("record_key", F.struct(NAME, ADDRESS))
+        .join(rule2_lookup(staged, zero_zip_is_null, scope), same, "left")
         # One row per record; identical records collapse to one.
         .groupBy(*SLICE)
         .agg(F.min("first_zip").alias("first_zip"), F.max("last_zip").alias("last_zip"))

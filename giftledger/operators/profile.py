@@ -101,29 +101,32 @@ def duplicate_examples(df: DataFrame, n: int = 5, key: Sequence[str] = GIFT_KEY)
     return _key_counts(df, key).where("n > 1").orderBy(F.desc("n"), *key).limit(n)
 
 
+def _smallest(rows: DataFrame, by: Column, n: int, groups: Sequence[int]) -> DataFrame:
+    """Rows among which the ``n`` smallest are, a bounded number: partitions are put into groups, each group keeps
+    its ``n`` smallest (cut down once more on the map side, by Spark's group limit), then groups of groups do."""
+    rows = rows.withColumn("sample_group", F.spark_partition_id())
+    for width in groups:
+        rows = rows.withColumn("sample_group", F.pmod("sample_group", F.lit(width)))
+        rank = F.row_number().over(Window.partitionBy("sample_group").orderBy(by))
+        rows = rows.withColumn("sample_rank", rank).where(F.col("sample_rank") <= n).drop("sample_rank")
+    return rows.drop("sample_group")
+
+
 def first_rows(df: DataFrame, n: int = 50_000, key: str = "SUB_ID", groups: Sequence[int] = (1024, 32)) -> DataFrame:
     """The ``n`` rows with the smallest key, null first; ties are taken by a hash of the whole row.
 
     A plain sort-and-limit sends up to ``n`` whole rows of every input partition to one task. Here the n-th smallest
-    key is found first, on the key and the hash alone: partitions are put into groups, each group keeps its ``n``
-    smallest (cut down once more on the map side, by Spark's group limit), then groups of groups do. The rows up to
-    that place are then read with an ordinary filter, so only about ``n`` of them are sorted, however many rows share
-    a key; only rows that are the same in every column stay tied.
+    key is found first, on the key alone. The rows up to that key are then read with an ordinary filter: ``n``, and
+    those that tie with the last. Only they are hashed, and cut down in groups again, so that a repeated key does not
+    gather its rows in one task; only rows that are the same in every column stay tied.
     """
     rows = _only_good(df)
+    keys = rows.select(F.struct(F.col(key).alias("key")).alias("place"))  # in a struct, null is the smallest
+    last = _smallest(keys, F.col("place"), n, groups).orderBy("place").limit(n).agg(F.max("place"))
+    near = rows.where(F.struct(F.col(key).alias("key")) <= last.scalar())
     tie = F.xxhash64(*[part for c in rows.columns for part in (F.col(c).isNull(), F.col(c))])
-    place = F.struct(F.col(key).alias("key"), tie.alias("tie"))
-    places = rows.select(place.alias("place")).withColumn("sample_group", F.spark_partition_id())
-    for width in groups:
-        within = Window.partitionBy("sample_group").orderBy("place")
-        places = (
-            places.withColumn("sample_group", F.pmod("sample_group", F.lit(width)))
-            .withColumn("sample_rank", F.row_number().over(within))
-            .where(F.col("sample_rank") <= n)
-            .drop("sample_rank")
-        )
-    last = places.select("place").orderBy("place").limit(n).agg(F.max("place"))
-    return rows.where(place <= last.scalar()).orderBy(place).limit(n)
+    placed = near.withColumn("sample_place", F.struct(F.col(key).alias("key"), tie.alias("tie")))
+    return _smallest(placed, F.col("sample_place"), n, groups).orderBy("sample_place").limit(n).drop("sample_place")
 
 
 def blank_zip_rate(staged: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Data-quality gates.
 
-A report has one row per check: ``check_name``, ``metric`` (a count or a percentage) and ``passed``. All checks on
-one table are aggregates of a single scan; uniqueness and coverage add one aggregation or join on the key column.
+A report has one row per check: ``check_name``, ``metric`` (a count or a percentage) and ``passed``. Checks on the
+rows of one table are aggregates of a single scan; uniqueness and coverage of keys add one grouping for each side
+(`key_audit`).
 """
 
 from __future__ import annotations
@@ -138,6 +139,31 @@ def coverage_report(source: DataFrame, target: DataFrame, key: str, name: str) -
     return _report(missing, [_zero(name, F.count("*"))])
 
 
+def key_audit(source: DataFrame, target: DataFrame, key: str, unique_source: str | None, unique_target: str, covered: str) -> DataFrame:
+    """Uniqueness of a key on both sides and coverage of the source, from one full join of the grouped sides.
+
+    Each side is shuffled once, already counted by key on the map side, and the join uses the same partitioning. The
+    metrics are those of `unique_key_report` and `coverage_report`.
+    """
+    sides = [df.groupBy(key).agg(F.count("*").alias(n)) for df, n in ((source, "sent"), (target, "held"))]
+    both = sides[0].join(sides[1], key, "full")
+
+    def violations(n: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col(n)).otherwise((F.col(n) > 1).cast("int"))), F.lit(0))
+
+    missing = F.coalesce(F.sum(F.when(F.col("held").isNull(), F.col("sent"))), F.lit(0))
+    checks = [_zero(unique_target, violations("held")), _zero(covered, missing)]
+    return _report(both, ([_zero(unique_source, violations("sent"))] if unique_source else []) + checks)
+
+
+def schema_report(df: DataFrame, expected: T.StructType, name: str) -> DataFrame:
+    """Number of schema problems (missing, repeated, unexpected, wrongly typed columns) as a check."""
+    problems = F.lit(len(schema_problems(df.schema, expected)))
+    return df.sparkSession.range(1).select(
+        F.lit(name).alias("check_name"), problems.cast("double").alias("metric"), (problems == 0).alias("passed")
+    )
+
+
 def identity_report(dim: DataFrame, limits: Limits = Limits()) -> DataFrame:
     rules = F.coalesce(F.col("match_rule").isin("rule1", "rule2", "no_match"), F.lit(False))
     return _report(

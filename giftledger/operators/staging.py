@@ -17,7 +17,7 @@ from ..functions import (
     parse_contribution_date,
     strict_cast,
 )
-from ..schemas import AMOUNT, LOAD_DATE, RAW, SOURCE_COLUMNS
+from ..schemas import AMOUNT, LOAD_DATE, RAW, SOURCE_COLUMNS, UNKNOWN
 
 INDIVIDUAL = "IND"
 
@@ -37,6 +37,36 @@ def enforce_raw_schema(df: DataFrame) -> DataFrame:
     )
 
 
+def unknown_columns(df: DataFrame) -> dict[str, str]:
+    """Columns of a source that the raw schema does not have, with their types."""
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name not in RAW.fieldNames()}
+
+
+def keep_unknown_columns(df: DataFrame) -> DataFrame:
+    """The raw columns with their types and one map of all other columns as text, so a source that grows loses nothing.
+
+    The map is null where the source has no other columns; values of other types than text are written as Spark casts
+    them, nested ones as JSON. A missing raw column or a bad value is still an error.
+    """
+    entries = []
+    for f in df.schema.fields:
+        if f.name not in RAW.fieldNames():
+            value = F.col(f"`{f.name}`")
+            nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+            entries += [F.lit(f.name), F.to_json(value) if nested else value.cast("string")]
+    kept = F.create_map(*entries) if entries else F.lit(None)
+    known = [
+        F.col(f.name) if isinstance(f.dataType, T.StringType) else strict_cast(f.name, f.dataType).alias(f.name)
+        for f in RAW.fields
+    ]
+    return df.select(*known, kept.cast("map<string,string>").alias(UNKNOWN))
+
+
+def unknown_values(raw: DataFrame) -> DataFrame:
+    """One row for each record and unknown column: SUB_ID, load date, column name and value (null stays null)."""
+    return raw.select("SUB_ID", LOAD_DATE, F.explode(UNKNOWN).alias("column_name", "value"))
+
+
 def select_source_columns(df: DataFrame) -> DataFrame:
     """The 21 source columns by name, whatever else is there and in whatever order."""
     return df.select(*SOURCE_COLUMNS)

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.identity import resolve_identity, unresolved_rows
 from ..operators.mart import ScoreRules, build_mart
-from ..operators.staging import add_load_date, build_staging, enforce_raw_schema
+from ..operators.staging import add_load_date, build_staging, keep_unknown_columns, unknown_columns
 from ..operators.upsert import UpsertResult, upsert_table
-from ..schemas import DIM_DONORS, LOAD_DATE, MART, RAW, STAGING, UNRESOLVED
+from ..schemas import DIM_DONORS, LOAD_DATE, MART, RAW, RAW_STORED, STAGING, UNRESOLVED
 from ..sources import tables as tb
 from ..sources import versions as V
 from ..sources.delimited import good_rows, read_headerless, read_identity_fixture, read_with_header, require_well_formed
-from .runlog import FAIL, PASS, log_task
+from .runlog import FAIL, RunLog
 
 INGEST, STAGE, IDENTITY, BUILD_MART = "ingest_raw", "build_staging", "build_identity_layer", "build_mart"
 CHECK_RAW, CHECK_STAGING, CHECK_IDENTITY, CHECK_MART = (
@@ -96,9 +96,13 @@ class Reconciled:
 
 
 def ingest_raw(spark: SparkSession, source: DataFrame, execution_date: date, table: str) -> Reconciled:
-    """Make the source records the whole content of the day's raw partition, and count it back."""
-    tb.ensure_table(spark, table, RAW)
-    rows = tb.overwrite_partition(enforce_raw_schema(add_load_date(source, execution_date)), table, execution_date)
+    """Make the source records the whole content of the day's raw partition, and count it back.
+
+    Columns we do not know are kept in one map column, and the table's record says which days have them.
+    """
+    tb.ensure_table(spark, table, RAW_STORED)
+    kept = keep_unknown_columns(add_load_date(source, execution_date))
+    rows = tb.overwrite_partition(kept, table, execution_date, unknown_columns(source))
     stored = tb.partition_row_count(tb.read_table(spark, table, RAW), execution_date).first()["row_count"]
     result = Reconciled(rows, stored)
     if not result.matches:
@@ -166,8 +170,7 @@ def staging_gate(raw: DataFrame, staged: DataFrame, limits: Q.Limits) -> DataFra
 def identity_gate(staged: DataFrame, dim: DataFrame, limits: Q.Limits) -> DataFrame:
     return Q.combine(
         Q.identity_report(dim, limits),
-        Q.unique_key_report(dim, ["sub_id"], "identity_unique_sub_id"),
-        Q.coverage_report(staged, dim, "sub_id", "identity_covers_staging"),
+        Q.key_audit(staged, dim, "sub_id", None, "identity_unique_sub_id", "identity_covers_staging"),
     )
 
 
@@ -180,24 +183,33 @@ def run_day(
 ) -> str:
     """Ingest, check, stage, check, identify, check, build the mart, check, publish. Returns the run id.
 
-    Every step is logged. The first failed check is logged as FAIL and raised; nothing after it runs, and readers
+    Every step is logged, in one job at the end of the run. The first failed check is logged as FAIL and raised; nothing after it runs, and readers
     keep the mart of the last good run, because a new one is published only after its check. Safe to repeat for the
     same date; a backfill is the same call with an older date.
     """
-    run_id = uuid.uuid4().hex
-    limits = options.limits
+    log = RunLog(spark, warehouse.run_log, uuid.uuid4().hex, execution_date)
+    try:
+        _run_steps(spark, source, execution_date, warehouse, options, log)
+    finally:
+        log.write()
+    for table in (warehouse.raw, warehouse.staging, warehouse.dim_donors, warehouse.unresolved, warehouse.mart):
+        V.sweep(spark, table, options.keep)
+    return log.run_id
 
-    def log(task: str, rows_in: int, rows_out: int, status: str = PASS) -> None:
-        log_task(spark, warehouse.run_log, run_id, execution_date, task, rows_in, rows_out, status)
+
+def _run_steps(
+    spark: SparkSession, source: DataFrame, execution_date: date, warehouse: Warehouse, options: Options, log: RunLog
+) -> None:
+    limits = options.limits
 
     def step(task: str, action):
         """Run one job; log what went in and out, or that it failed."""
         try:
             rows_in, rows_out = action()
         except Exception:
-            log(task, 0, 0, FAIL)
+            log.add(task, 0, 0, FAIL)
             raise
-        log(task, rows_in, rows_out)
+        log.add(task, rows_in, rows_out)
         return rows_out
 
     def gate(task: str, rows: int, df: DataFrame, schema, report: DataFrame) -> None:
@@ -205,9 +217,9 @@ def run_day(
             Q.require_schema(task, df, schema)
             Q.enforce(task, report)
         except Exception:
-            log(task, rows, 0, FAIL)
+            log.add(task, rows, 0, FAIL)
             raise
-        log(task, rows, rows)
+        log.add(task, rows, rows)
 
     def ingest():
         counted = ingest_raw(spark, source, execution_date, warehouse.raw)
@@ -252,13 +264,10 @@ def run_day(
             options.as_of or execution_date,
             options.rules,
         )
-        path = tb.write_snapshot(rows, warehouse.mart, run_id)
+        path = tb.write_snapshot(rows, warehouse.mart, log.run_id)
         return resolved_rows, spark.read.schema(MART).parquet(path).count()
 
     mart_rows = step(BUILD_MART, mart_job)
-    mart = spark.read.schema(MART).parquet(tb.snapshot_path(warehouse.mart, run_id))
+    mart = spark.read.schema(MART).parquet(tb.snapshot_path(warehouse.mart, log.run_id))
     gate(CHECK_MART, mart_rows, mart, MART, mart_gate(mart, limits))
-    tb.publish_snapshot(spark, warehouse.mart, run_id)
-    for table in (warehouse.raw, warehouse.staging, warehouse.dim_donors, warehouse.unresolved, warehouse.mart):
-        V.sweep(spark, table, options.keep)
-    return run_id
+    tb.publish_snapshot(spark, warehouse.mart, log.run_id)

@@ -234,9 +234,28 @@ def _quality() -> str:
         violations("mart_no_gifts", "contribution_count < 1", "mart"),
         repeated("mart_unique_donor_id", "donor_id", "mart"),
     ]
+    checks += [f"SELECT '{name}_schema', 0.0::DOUBLE, TRUE" for name in ("raw", "staging", "identity", "mart")]
     return _over_mart("\nUNION ALL\n".join(checks))
 
 
+def _daily_run() -> str:
+    tasks = (
+        ("ingest_raw", "raw_rows", "raw_rows"), ("check_raw", "raw_rows", "raw_rows"),
+        ("build_staging", "raw_rows", "staged_rows"), ("check_staging", "staged_rows", "staged_rows"),
+        ("build_identity_layer", "staged_rows", "staged_rows"), ("check_identity", "staged_rows", "staged_rows"),
+        ("build_mart", "staged_rows", "mart_rows"), ("check_mart", "mart_rows", "mart_rows"),
+    )
+    counts = """
+        SELECT _load_date AS day, count(*) AS raw_rows, count(*) FILTER (ENTITY_TP = 'IND') AS staged_rows,
+          (SELECT count(DISTINCT donor_id) FROM dim WHERE dim.load_date <= raw._load_date) AS mart_rows
+        FROM raw GROUP BY _load_date"""
+    rows = [
+        f"SELECT day AS execution_date, '{t}' AS task_name, {i} AS row_count_input, {o} AS row_count_output, 'PASS' AS status FROM counts"
+        for t, i, o in tasks
+    ]
+    return _with("\nUNION ALL\n".join(rows), **STAGED, **_identity("staged"), counts=counts)
+
+
 FINGERPRINT_COLUMNS = (
     "sub_id cmte_id tran_id name_raw city_raw state zip_raw donor_name_normalized donor_address_normalized "
     "zip_normalized contribution_amount contribution_date entity_type load_date"
@@ -257,6 +276,13 @@ ORACLES: dict[str, str] = {
     "raw_partition_read": _with(
         f"SELECT {', '.join(SOURCE_COLUMNS)}, _load_date AS load_date FROM raw WHERE _load_date = DATE '2025-01-02'"
     ),
+    "raw_unknown_columns": _with(
+        f"""SELECT SUB_ID, _load_date AS load_date, 'ORIGIN' AS column_name, 'origin ' || FILE_NUM AS value, 'string' AS column_type
+              FROM raw WHERE _load_date > {DAY_1}
+            UNION ALL
+            SELECT SUB_ID, _load_date, 'AMOUNT_IN_CENTS', CAST(CAST(TRANSACTION_AMT * 100 AS BIGINT) AS STRING), 'bigint'
+              FROM raw WHERE _load_date = {DAY_3}"""
+    ),
     "csv_roundtrip": _with(f"SELECT {TEXT_COLUMNS} FROM raw"),
     "malformed_rows": _with(
         f"""SELECT count(*) AS total_rows, count(*) FILTER (NOT {GOOD_LINE}) AS skipped_rows,
@@ -335,6 +361,14 @@ ORACLES: dict[str, str] = {
              count(*) FILTER (identity_conflict) AS review_rows FROM dim GROUP BY load_date""",
         route=True,
     ),
+    "identity_rebuild": _over_identity("SELECT * FROM dim", scope="all"),
+    "day_resent": _with(
+        "SELECT * FROM dim",
+        left_over="SELECT * FROM raw WHERE NOT (_load_date = DATE '2025-01-02' AND AMNDT_IND = 'A')",
+        staged=_staged_from("left_over"),
+        **_identity("staged"),
+    ),
+    "daily_run": _daily_run(),
     "fixture_identity": _over_identity("SELECT sub_id, donor_id, match_rule FROM dim", scope="all"),
     "match_rule_distribution": _over_identity(
         """SELECT match_rule, count(*) AS cnt, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS pct

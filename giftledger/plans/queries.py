@@ -28,7 +28,7 @@ from ..operators import profile as P
 from ..operators import quality as Q
 from ..operators import staging as S
 from ..operators import upsert as U
-from ..schemas import DIM_DONORS, LOAD_DATE, RAW, SOURCE_COLUMNS, STAGING
+from ..schemas import AMOUNT, DIM_DONORS, LOAD_DATE, MART, RAW, RAW_STORED, SOURCE_COLUMNS, STAGING
 from ..sources import delimited as D
 from ..sources import tables as tb
 from ..sources.testdata import contribution_records
@@ -141,6 +141,19 @@ def raw_partition_read(spark, sf_dir):
     return _public(day.withColumn("TRANSACTION_AMT", F.col("TRANSACTION_AMT").cast(MONEY)))
 
 
+@query
+def raw_unknown_columns(spark, sf_dir):
+    """Days loaded from sources with other columns each: none unknown, one, and two; their values as stored."""
+    raw, path = _raw(spark, sf_dir), scratch_path(spark, "raw")
+    origin = F.concat(F.lit("origin "), F.col("FILE_NUM"))
+    more = [{}, {"ORIGIN": origin}, {"ORIGIN": origin, "AMOUNT_IN_CENTS": (F.col("TRANSACTION_AMT") * 100).cast("bigint")}]
+    for day, columns in zip(DAYS, more):
+        R.ingest_raw(spark, raw.where(F.col(LOAD_DATE) == F.lit(day)).drop(LOAD_DATE).withColumns(columns), day, path)
+    values = S.unknown_values(tb.read_table(spark, path, RAW_STORED))
+    named = tb.unknown_columns(spark, path).withColumnRenamed("load_date", LOAD_DATE)
+    return _public(values.join(F.broadcast(named), [LOAD_DATE, "column_name"]))  # one row for each day and unknown column
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     """Records written as delimited text, read back as strings, cast to the raw types."""
@@ -348,6 +361,44 @@ def identity_tables(spark, sf_dir):
     )
 
 
+@query
+def identity_rebuild(spark, sf_dir):
+    """Dimension filled day by day, then rebuilt over all dates at once, and published as one new state."""
+    root = scratch_path(spark, "rebuild")
+    tables = (f"{root}/dim_donors", f"{root}/unresolved")
+    staged = _staging_table(spark, sf_dir)
+    R.run_identity(spark, staged, *tables, mode="route")
+    R.rebuild_identity(spark, staged, *tables, scope="all")
+    return _public(tb.read_table(spark, tables[0], DIM_DONORS))
+
+
+@query
+def day_resent(spark, sf_dir):
+    """All days staged and resolved, then the second day sent again without its amended filings: those are withdrawn."""
+    raw, path = _write_raw(spark, sf_dir)
+    w = R.Warehouse(scratch_path(spark, "resent"))
+    tb.ensure_table(spark, w.staging, STAGING)
+    U.upsert_table(spark, w.staging, STAGING, S.build_staging(tb.read_table(spark, path, RAW)))
+    R.run_identity(spark, tb.read_table(spark, w.staging, STAGING), w.dim_donors, w.unresolved)
+    day = raw.where((F.col(LOAD_DATE) == F.lit(DAYS[1])) & (F.col("AMNDT_IND") != "A"))
+    R.ingest_raw(spark, S.select_source_columns(day), DAYS[1], path)
+    R.run_staging(spark, path, w.staging, DAYS[1])
+    R.run_identity(spark, tb.read_partition(spark, w.staging, STAGING, DAYS[1]), w.dim_donors, w.unresolved, day=DAYS[1])
+    return _public(tb.read_table(spark, w.dim_donors, DIM_DONORS))
+
+
+@query
+def daily_run(spark, sf_dir):
+    """The whole ordered run for each day, with its checks, on one warehouse: the entries of the run log."""
+    w = R.Warehouse(scratch_path(spark, "warehouse"))
+    raw = _stored(S.enforce_raw_schema(_raw(spark, sf_dir)), "records")
+    limits = Q.Limits(null_rates={"NAME": 0.0, "TRANSACTION_AMT": 0.0, "TRANSACTION_DT": 0.0, "SUB_ID": 0.0, "ZIP_CODE": 20.0})
+    for day in DAYS:
+        source = S.select_source_columns(raw.where(F.col(LOAD_DATE) == F.lit(day)))
+        R.run_day(spark, source, day, w, R.Options(as_of=AS_OF, limits=limits))
+    return read_run_log(spark, w.run_log).drop("run_id", "timestamp")
+
+
 @query
 def fixture_identity(spark, sf_dir):
     """Identity on a scenario file: the staged records written as one, read back and resolved."""
@@ -445,9 +496,14 @@ def quality_report(spark, sf_dir):
     mart = _stored(M.build_mart(staged, dim, AS_OF), "mart", partitioned=False)
     return Q.combine(
         Q.raw_report(raw, limits),
-        R.staging_gate(raw, staged, limits),
-        R.identity_gate(staged, dim, limits),
+        Q.staging_report(staged, limits),
+        Q.not_more_rows_report(staged, raw, "staging_not_more_than_raw"),
+        Q.identity_report(dim, limits),
+        Q.key_audit(staged, dim, "sub_id", "staging_unique_sub_id", "identity_unique_sub_id", "identity_covers_staging"),
         R.mart_gate(mart, limits),
+        *[Q.schema_report(df, schema, f"{name}_schema") for name, df, schema in (
+            ("raw", raw.withColumn("TRANSACTION_AMT", F.col("TRANSACTION_AMT").cast(AMOUNT)), RAW), ("staging", staged, STAGING),
+            ("identity", dim, DIM_DONORS), ("mart", mart, MART))],
     )
 
 

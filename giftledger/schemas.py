@@ -35,6 +35,12 @@ RAW = T.StructType(
     + [T.StructField(LOAD_DATE, T.DateType(), nullable=False)]
 )
 
+#: What the raw table stores beside the fixed columns: values of columns the source has and we do not know, by name.
+UNKNOWN = "unknown_columns"
+RAW_STORED = T.StructType([*RAW.fields, T.StructField(UNKNOWN, T.MapType(T.StringType(), T.StringType()))])
+
+UNKNOWN_COLUMNS = _table(load_date=T.DateType(), column_name=T.StringType(), column_type=T.StringType())
+
 STAGING = _table(
     **_strings("sub_id", "cmte_id", "tran_id", "name_raw", "city_raw", "state", "zip_raw"),
     **_strings("donor_name_normalized", "donor_address_normalized", "zip_normalized"),

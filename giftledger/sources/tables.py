@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import LOAD_DATE
+from ..schemas import LOAD_DATE, UNKNOWN_COLUMNS
 from . import versions as V
 from .workspace import list_names
 
@@ -118,6 +118,14 @@ def overwrite_partition(df: DataFrame, path: str, load_date: date, columns: Mapp
     return replace_partitions(df.withColumn(LOAD_DATE, F.lit(load_date)), path, [load_date], {load_date: columns or {}})
 
 
+def unknown_columns(spark: SparkSession, path: str) -> DataFrame:
+    """The table's record of unknown source columns: load date, column name and type, as the manifest has them."""
+    manifest = V.current(spark, path)
+    found = manifest.columns if manifest else {}
+    rows = [(day, name, kind) for day, held in sorted(found.items()) for name, kind in sorted(held.items())]
+    return spark.createDataFrame(rows, UNKNOWN_COLUMNS)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Add rows to a plain folder."""
     df.write.mode("append").parquet(path)

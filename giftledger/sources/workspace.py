@@ -10,6 +10,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_session_folders: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,9 +27,30 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def session_folder(spark: SparkSession) -> str:
+    """The folder for scratch tables of this application, which Spark's file-system client deletes when the driver ends.
+
+    Results that read scratch tables are lazy, so the tables have to stay while the session may still read them.
+    """
+    folder = f"{shared_folder(spark)}/giftledger-{spark.sparkContext.applicationId}"
+    if folder not in _session_folders:
+        fs, hadoop_path = _file_system(spark, folder)
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
+        _session_folders.add(folder)
+    return folder
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application now; for a session that goes on after its results are written."""
+    folder = session_folder(spark)
+    _session_folders.discard(folder)
+    delete_path(spark, folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path for a scratch table."""
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):

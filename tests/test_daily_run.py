@@ -169,3 +169,61 @@ def test_command_line(spark, tmp_path, capsys):
     sample = str(tmp_path / "sample")
     assert main(["profile", "--input", plain, "--headers", str(header), "--rows", "4", "--output", sample]) == 0
     assert R.read_source(spark, sample).count() == 4
+
+
+def test_a_day_sent_again_with_fewer_records(spark, warehouse):
+    """Records that are not sent again leave staging, dimension and mart, and the run passes its checks."""
+    R.run_day(spark, source_frame(spark, SOURCE_ROWS), DAY, warehouse)
+    R.run_day(spark, source_frame(spark, [source_row(50, name="NEW, PERSON")]), DAY_2, warehouse)
+    left = [r for r in SOURCE_ROWS if r[-1] not in ("S0001", "S0002")]
+    changed = [(*r[:14], "999", *r[15:]) if r[-1] == "S0003" else r for r in left]
+    run_id = R.run_day(spark, source_frame(spark, changed), DAY, warehouse)
+    assert [s for *_, s in log_of(spark, warehouse, run_id)] == ["PASS"] * 8
+    for path, schema in ((warehouse.staging, STAGING), (warehouse.dim_donors, DIM_DONORS)):
+        ids = {r["sub_id"] for r in tb.read_table(spark, path, schema).collect()}
+        assert ids == {r[-1] for r in left if r[6] == "IND"} | {"S0050"}
+    total = tb.read_snapshot(spark, warehouse.mart, MART).agg(F.sum("total_amount"), F.sum("contribution_count")).first()
+    assert (int(total[0]), total[1]) == (sum(int(r[14]) for r in changed if r[6] == "IND") + 100, 7)
+
+
+def test_a_run_adds_one_file_to_the_log_and_files_can_be_joined(spark, warehouse):
+    from giftledger.plans.runlog import compact_run_log
+
+    def files():
+        return spark.read.parquet(warehouse.run_log).inputFiles()
+
+    R.run_day(spark, source_frame(spark, SOURCE_ROWS), DAY, warehouse)
+    assert len(files()) == 1
+    with pytest.raises(Q.GateFailed):
+        R.run_day(spark, source_frame(spark, [source_row(1, zip_code="")]), DAY_2, warehouse)
+    assert len(files()) == 2
+    before = log_of(spark, warehouse)
+    assert len(before) == 10 and before[-1][-1] == "FAIL"
+    compact_run_log(spark, warehouse.run_log)
+    assert len(files()) == 1 and log_of(spark, warehouse) == before
+
+
+def test_unknown_columns_are_kept_and_breaking_changes_fail(spark, warehouse):
+    from giftledger.operators.staging import unknown_values
+    from giftledger.schemas import RAW_STORED
+
+    plain = source_frame(spark, SOURCE_ROWS[:3])
+    R.ingest_raw(spark, plain, DAY, warehouse.raw)
+    grown = plain.withColumns({"a.b": F.lit("x"), "UNKNOWN_COLUMNS": F.lit(7), "nested": F.struct(F.lit(1).alias("n")), "none": F.lit(None).cast("date")})
+    R.ingest_raw(spark, grown, DAY_2, warehouse.raw)
+    stored = tb.read_table(spark, warehouse.raw, RAW_STORED)
+    assert stored.where(F.col("_load_date") == F.lit(DAY)).where("unknown_columns IS NULL").count() == 3
+    values = unknown_values(stored).where("SUB_ID = 'S0001'").collect()
+    assert {(r["_load_date"], r["column_name"], r["value"]) for r in values} == {
+        (DAY_2, "a.b", "x"), (DAY_2, "UNKNOWN_COLUMNS", "7"), (DAY_2, "nested", '{"n":1}'), (DAY_2, "none", None)
+    }
+    recorded = {(r["load_date"], r["column_name"], r["column_type"]) for r in tb.unknown_columns(spark, warehouse.raw).collect()}
+    assert recorded == {(DAY_2, "a.b", "string"), (DAY_2, "UNKNOWN_COLUMNS", "int"), (DAY_2, "nested", "struct<n:int>"), (DAY_2, "none", "date")}
+    # The fixed columns are read as before; a day sent again without the columns loses its record of them.
+    assert tb.read_table(spark, warehouse.raw, RAW).columns == RAW.fieldNames()
+    R.ingest_raw(spark, plain, DAY_2, warehouse.raw)
+    assert tb.unknown_columns(spark, warehouse.raw).count() == 0
+    for broken in (plain.drop("ZIP_CODE"), plain.withColumn("TRANSACTION_AMT", F.lit("ten"))):
+        with pytest.raises(PySparkException, match="ZIP_CODE|not a decimal"):
+            R.ingest_raw(spark, broken, DAY, warehouse.raw)
+    assert tb.read_table(spark, warehouse.raw, RAW).count() == 6

@@ -1,5 +1,8 @@
 """The shape of the physical plans: what is pushed down, what is shuffled, and what must not appear."""
 
+import re
+from datetime import date
+
 import pytest
 from giftledger.operators import identity as I
 from giftledger.operators import mart as M
@@ -54,7 +57,7 @@ def test_staging_is_one_generated_stage_without_a_shuffle(spark, tmp_path):
     tb.replace_partitions(raw, str(tmp_path / "raw"))
     from giftledger.schemas import RAW
 
-    staged = S.build_staging(tb.read_partition(spark, str(tmp_path / "raw"), RAW, DAY))
+    staged = S.build_staging(tb.read_partition(spark, str(tmp_path / "raw"), RAW, date(2025, 1, 1)))
     text = plan(staged)
     assert "Exchange" not in text
     assert text.count("Project") == 1 and "*(1) Project" in text
@@ -138,3 +141,18 @@ def test_odd_rows_lookup_stays_exact_in_any_scope(spark):
     rows = [("a", "n", "x", "11111"), ("b", "n", "x", "")]
     for scope in I.SCOPES:
         assert I.resolve_identity(staged_rows(spark, rows), scope=scope).select("donor_id").distinct().count() == 1
+
+
+def test_a_load_date_reaches_all_scans_of_identity(spark, staged_table):
+    day = I.resolve_identity(staged_table).where(F.col("_load_date") == F.lit(DAY))
+    scans = [line for line in plan(day).splitlines() if "FileScan" in line]
+    assert len(scans) == 3
+    assert all(re.search(r"PartitionFilters: \[[^]]*_load_date#\d+ = 2099-01-01", line) for line in scans)
+
+
+def test_keys_are_audited_with_one_shuffle_a_side(spark, staged_table, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    from giftledger.operators import quality as Q
+
+    text = plan(Q.key_audit(staged_table, staged_table.where("sub_id > '2'"), "sub_id", "a", "b", "c"))
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("Exchange") == 3  # and the one row of the result

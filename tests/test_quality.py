@@ -120,3 +120,24 @@ def test_fingerprint(spark, portable):
     pairs = [[(None, "x")], [("x", None)], [("a|b", "c")], [("a", "b|c")], [("N", "x")], [("", "x")]]
     prints = [Q.fingerprint(spark.createDataFrame(p, "a string, b string"), portable=portable).first() for p in pairs]
     assert len(set(prints)) == len(pairs)
+
+
+def test_key_audit_equals_the_single_reports(spark):
+    def keys(*ids):
+        return spark.createDataFrame([(i,) for i in ids], "sub_id string")
+
+    for source, target in (
+        (keys("a", "b", "b", None, "z", "z"), keys("a", "b", "c", "c", None, None)), (keys(), keys("a", "a")), (keys("a", "a"), keys()), (keys(), keys()),
+    ):
+        audit = Q.key_audit(source, target, "sub_id", "s", "t", "c").collect()
+        single = [
+            *Q.unique_key_report(source, ["sub_id"], "s").collect(), *Q.unique_key_report(target, ["sub_id"], "t").collect(),
+            *Q.coverage_report(source, target, "sub_id", "c").collect(),
+        ]
+        assert [(r["check_name"], r["metric"] or 0.0) for r in audit] == [(r["check_name"], r["metric"] or 0.0) for r in single]
+
+
+def test_schema_report(spark):
+    df = spark.createDataFrame([], STAGING)
+    assert tuple(Q.schema_report(df, STAGING, "x").first()) == ("x", 0.0, True)
+    assert tuple(Q.schema_report(df.drop("sub_id").withColumn("more", Q.F.lit(1)), STAGING, "x").first()) == ("x", 2.0, False)

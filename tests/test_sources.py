@@ -131,3 +131,33 @@ def test_scratch_tables_live_in_the_shared_folder_and_go_away(spark):
         assert path.startswith("file:") and shared_folder(spark) in path
         assert numbers.count() == 5
     assert not path_exists(spark, path)
+
+
+SESSION = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from giftledger.session import get_session
+from giftledger.sources.workspace import release_scratch, scratch_path, session_folder, path_exists
+spark = get_session("scratch", "local[1]", spark__ui__enabled="false", **{"spark.checkpoint.dir": sys.argv[2]})
+for _ in range(2):
+    path = scratch_path(spark, "rows")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    if _ == 0:
+        release_scratch(spark)
+        assert not path_exists(spark, path)
+from giftledger.plans.queries import QUERIES
+QUERIES["partition_overwrite"](spark, "/root/testdata/sf0.001").collect()
+assert path_exists(spark, session_folder(spark))
+spark.stop()
+"""
+
+
+def test_no_scratch_is_left_when_the_driver_ends(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(__file__).resolve().parent.parent)
+    subprocess.run([sys.executable, "-c", SESSION, root, str(tmp_path)], check=True, capture_output=True, timeout=300)
+    assert not list(tmp_path.glob("giftledger-*"))
