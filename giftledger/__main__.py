@@ -7,13 +7,15 @@ import sys
 from datetime import date
 
 from .operators.identity import MODES, SCOPES, match_rule_counts
-from .operators.profile import first_rows, profile_report
-from .operators.quality import GateFailed
+from .operators.mart import lapsed_donors
+from .operators.profile import profile_report
+from .operators.quality import GateFailed, Limits
 from .plans import daily_run as R
-from .schemas import DIM_DONORS, STAGING
+from .schemas import DIM_DONORS, MART, STAGING
 from .session import get_session
 from .sources import tables as tb
 from .sources.delimited import read_headerless, write_delimited
+from .sources.versions import KEEP
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -39,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest = dated("ingest", "replace one day of the raw table")
     with_source(ingest)
     ingest.add_argument("--table", help="raw table path (default: the warehouse's)")
-    dated("staging", "clean one raw day and upsert it into staging")
+    dated("staging", "clean one raw day and upsert it into staging").add_argument("--lenient-dates", action="store_true")
     identity = dated("identity", "resolve donors of one staged day")
     with_identity(identity)
     identity.add_argument("--fixture", help="resolve this scenario file into test tables instead")
@@ -47,6 +49,16 @@ def _parser() -> argparse.ArgumentParser:
     with_source(run)
     with_identity(run)
     run.add_argument("--as-of", type=date.fromisoformat, help="day the scores refer to")
+    run.add_argument("--lenient-dates", action="store_true", help="read one-digit months and days")
+    run.add_argument("--min-rows", type=int, default=1, help="rows below which a check fails")
+    run.add_argument("--max-rows", type=int, help="rows from which a check fails")
+    run.add_argument("--null-rate", action="append", default=[], metavar="COLUMN=PERCENT", help="limit of blanks in a raw column")
+    run.add_argument("--keep", type=int, default=KEEP, help="states of each table to keep")
+    rebuild = dated("rebuild", "resolve all staged days again and replace dimension, review table and mart")
+    with_identity(rebuild)
+    rebuild.add_argument("--as-of", type=date.fromisoformat, help="day the scores refer to")
+    lapsed = dated("lapsed", "donors of the published mart who have lapsed")
+    lapsed.add_argument("--output", required=True, help="folder for the list")
 
     profile = jobs.add_parser("profile", help="describe a headerless source and write a sample")
     profile.add_argument("--input", required=True)
@@ -56,8 +68,17 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _limits(args: argparse.Namespace) -> Limits:
+    given = dict(item.split("=", 1) for item in args.null_rate)
+    rates = {**Limits().null_rates, **{column: float(rate) for column, rate in given.items()}}
+    return Limits(min_rows=args.min_rows, max_rows=args.max_rows, null_rates=rates)
+
+
 def _options(args: argparse.Namespace) -> R.Options:
     return R.Options(
+        lenient_dates=args.lenient_dates,
+        limits=_limits(args),
+        keep=args.keep,
         as_of=args.as_of,
         conflict_mode=args.conflicts,
         zero_zip_is_null=args.zero_zip_is_null,
@@ -70,11 +91,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.job == "profile":
         source = read_headerless(spark, args.input, args.headers)
-        for name, result in profile_report(source, args.rows).items():
+        report = profile_report(source, args.rows)
+        sample = report.pop("sample")
+        for name, result in report.items():
             print(name)
             result.show(truncate=False)
         if args.output:
-            write_delimited(first_rows(source, args.rows), args.output, mode="overwrite")
+            write_delimited(sample, args.output, mode="overwrite")
         return 0
 
     warehouse, day = R.Warehouse(args.warehouse), args.execution_date
@@ -84,7 +107,12 @@ def main(argv: list[str] | None = None) -> int:
         if args.job == "ingest":
             print(R.ingest_raw(spark, source, day, args.table or warehouse.raw))
         elif args.job == "staging":
-            print(R.run_staging(spark, warehouse.raw, warehouse.staging, day))
+            print(R.run_staging(spark, warehouse.raw, warehouse.staging, day, args.lenient_dates))
+        elif args.job == "rebuild":
+            choices = {"mode": args.conflicts, "zero_zip_is_null": args.zero_zip_is_null, "scope": args.scope}
+            print(R.rebuild(spark, warehouse, args.as_of or day, **choices))
+        elif args.job == "lapsed":
+            write_delimited(lapsed_donors(tb.read_snapshot(spark, warehouse.mart, MART), day), args.output)
         elif args.job == "identity":
             dim_path, review_path = warehouse.dim_donors, warehouse.unresolved
             if args.fixture:
@@ -95,7 +123,7 @@ def main(argv: list[str] | None = None) -> int:
                 if args.scope == "date":
                     staged = tb.read_partition(spark, warehouse.staging, STAGING, day)
                 R.run_identity(
-                    spark, staged, dim_path, review_path, args.conflicts, args.zero_zip_is_null, args.scope
+                    spark, staged, dim_path, review_path, args.conflicts, args.zero_zip_is_null, args.scope, day
                 )
             match_rule_counts(tb.read_partition(spark, dim_path, DIM_DONORS, day)).show()
         else:

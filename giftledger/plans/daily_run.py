@@ -153,6 +153,20 @@ def rebuild_identity(spark: SparkSession, staged: DataFrame, dim_table: str, unr
     return rows
 
 
+def rebuild(spark: SparkSession, warehouse: Warehouse, as_of: date, rules: ScoreRules = ScoreRules(), **choices) -> str:
+    """Dimension, review table and mart from all staged rows, each published whole; the mart after its check.
+
+    Returns the version of the mart. Old states stay for readers until a run sweeps them.
+    """
+    staged, version = tb.read_table(spark, warehouse.staging, STAGING), V.new_version()
+    rebuild_identity(spark, staged, warehouse.dim_donors, warehouse.unresolved, **choices)
+    rows = build_mart(staged, tb.read_table(spark, warehouse.dim_donors, DIM_DONORS), as_of, rules)
+    mart = spark.read.schema(MART).parquet(tb.write_snapshot(rows, warehouse.mart, version))
+    Q.enforce(CHECK_MART, mart_gate(mart, Q.Limits()))
+    tb.publish_snapshot(spark, warehouse.mart, version)
+    return version
+
+
 def run_fixture_identity(spark: SparkSession, path: str, execution_date: date, dim_table: str, unresolved_table: str):
     """Identity on a scenario file, into tables of its own."""
     staged = read_identity_fixture(spark, path, execution_date)

@@ -155,6 +155,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["run", *day, "--csv-path", source]) == 0
     bad = write_source(tmp_path / "bad.csv", [source_row(1, zip_code="")])
     assert main(["run", *day, "--csv-path", bad]) == 1
+    assert main(["run", *day, "--csv-path", source, "--min-rows", "100"]) == 1
+    late = write_source(tmp_path / "late.csv", [source_row(1, zip_code="", day="1012025", amount="700"), source_row(2)])
+    assert main(["run", *day, "--csv-path", late, "--null-rate", "ZIP_CODE=50", "--lenient-dates", "--keep", "1"]) == 0
+    staged = tb.read_table(spark, R.Warehouse(root).staging, STAGING)
+    assert {r["contribution_date"].isoformat() for r in staged.collect()} == {"2025-10-01", "2025-01-01"}
+    published = tb.current_version(spark, R.Warehouse(root).mart)
+    assert main(["rebuild", *day, "--scope", "all", "--conflicts", "route"]) == 0
+    assert tb.current_version(spark, R.Warehouse(root).mart) != published
+    lapsed = str(tmp_path / "lapsed")
+    assert main(["lapsed", "--execution-date", "2027-01-01", "--warehouse", root, "--output", lapsed]) == 0
+    assert [r["total_amount"] for r in spark.read.option("header", True).option("sep", "|").csv(lapsed).collect()] == ["800.000000000"]
 
     scenario = tmp_path / "scenario.csv"
     lines = ["record_id,donor_name_normalized,donor_address_normalized,zip_normalized"]

@@ -154,3 +154,22 @@ def test_unknown_columns_are_ignored_and_missing_ones_fail(spark):
         S.select_source_columns(grown.drop("SUB_ID")).collect()
     with pytest.raises(Exception, match="SUB_ID"):
         S.build_staging(S.add_load_date(grown.drop("SUB_ID"), AS_OF)).collect()
+
+
+def test_the_report_equals_the_single_results_and_reads_the_text_once(spark, text, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def texts(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+
+    assert texts(text) == 1
+    report = P.profile_report(text, 2, key="SUB_ID" if "SUB_ID" in text.columns else text.columns[0], gift=text.columns[:2])
+    key = "SUB_ID" if "SUB_ID" in text.columns else text.columns[0]
+    single = {
+        "totals": P.totals(text, 2), "key_population": P.key_population(text, key), "top_null_columns": P.top_null_columns(text),
+        "duplicates": P.duplicate_profile(text, text.columns[:2]), "duplicate_examples": P.duplicate_examples(text, key=text.columns[:2]),
+        "sample": P.first_rows(text, 2, key),
+    }
+    for name, df in single.items():
+        assert isinstance(report[name], DataFrame) and texts(report[name]) == 0
+        assert report[name].columns == df.columns and report[name].collect() == df.collect(), name
