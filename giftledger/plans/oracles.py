@@ -1,7 +1,7 @@
 """The registered queries as SQL for another engine, over the same tables. Used only to check results.
 
-Written from the meaning of each query, not from its Spark plan: identity, for one, joins first and takes the
-minimum afterwards.
+Written from the meaning of each query, not from its Spark plan: identity, for one, asks for each record which ZIPs
+are on offer.
 """
 
 from __future__ import annotations
@@ -14,18 +14,21 @@ DAY_1, DAY_3, RESEND_DAY = "DATE '2025-01-01'", "DATE '2025-01-03'", "DATE '2025
 AS_OF = "DATE '2001-08-02'"
 
 
+def _words(text: str) -> str:
+    """The words of a text, in order, as a list."""
+    return rf"regexp_extract_all({text}, '\S+')"
+
+
 def _name(text: str) -> str:
-    spaced = f"replace(replace(lower(coalesce({text}, '')), '-', ' '), '_', ' ')"
-    kept = rf"regexp_replace({spaced}, '[^a-z0-9\s]', '', 'g')"
-    return rf"trim(regexp_replace({kept}, '\s+', ' ', 'g'))"
+    allowed = "list_filter(string_split(translate(lower({0}), '-_', '  '), ''), lambda c: c SIMILAR TO '[a-z0-9\\s]')".format(text)
+    return f"array_to_string({_words(f"array_to_string({allowed}, '')")}, ' ')"
 
 
 def _address(text: str) -> str:
-    kept = rf"regexp_replace(lower({text}), '[^\w\s]', '', 'g')"
-    result = rf"trim(regexp_replace({kept}, '\s+', ' ', 'g'))"
-    for word, short in STREET_WORDS.items():
-        result = rf"regexp_replace({result}, '\b{word}\b', '{short}', 'g')"
-    return result
+    """Word by word: a street word is looked up, any other stays."""
+    pairs = ", ".join(f"'{word}': '{short}'" for word, short in STREET_WORDS.items())
+    cleaned = rf"regexp_replace(lower({text}), '[^\w\s]', '', 'g')"
+    return f"array_to_string(list_transform({_words(cleaned)}, lambda w: coalesce(map_extract_value(MAP {{{pairs}}}, w), w)), ' ')"
 
 
 def _zip(text: str) -> str:
@@ -60,35 +63,31 @@ AMENDED = f"""
 
 
 def _identity(staged: str, scope: str = "date", route: bool = False, zero_is_null: bool = False) -> dict[str, str]:
-    """CTEs ending in ``keyed``, for the staged rows in ``staged``."""
-    blank = "(zip_normalized IS NULL OR zip_normalized IN ('', '00000'))" if zero_is_null else (
-        "(zip_normalized IS NULL OR zip_normalized = '')"
-    )
-    same_day = "AND r.load_date = z.load_date" if scope == "date" else ""
-    key = "coalesce(min_key, own_key)"
-    if route:
-        key = f"CASE WHEN n_keys > 1 THEN donor_name_normalized || '|id:' || sub_id ELSE {key} END"
-    columns = "sub_id, donor_name_normalized, donor_address_normalized, zip_normalized, load_date"
+    """CTEs ending in ``dim``, for the staged rows in ``staged``.
+
+    A record's ZIP counts unless it is blank. One without gets the candidate ZIPs of its own name and address by a subquery;
+    its key is the smallest candidate's, or what it has itself.
+    """
+    unusable = ("", "00000") if zero_is_null else ("",)
+    usable = " AND ".join(f"zip_normalized <> '{z}'" for z in unusable)
+    same = "c.donor_name_normalized = r.donor_name_normalized AND c.donor_address_normalized = r.donor_address_normalized"
+    if scope == "date":
+        same += " AND c.load_date = r.load_date"
+    candidates = f"FROM {staged} c WHERE {usable.replace('zip_normalized', 'c.zip_normalized')} AND c.donor_address_normalized <> '' AND {same}"
+    chosen = "CASE WHEN identity_conflict THEN NULL ELSE coalesce(own_zip, first_zip) END"
     return {
-        "zipped": f"""SELECT {columns}, donor_name_normalized || '|zip:' || zip_normalized AS canonical_key
-            FROM {staged} WHERE NOT {blank}""",
-        "unzipped": f"""
-            SELECT {", ".join("r." + c for c in columns.split(", "))}, min(z.canonical_key) AS min_key,
-              count(DISTINCT z.canonical_key) AS n_keys,
-              CASE WHEN r.donor_address_normalized <> ''
-                   THEN r.donor_name_normalized || '|addr:' || r.donor_address_normalized
-                   ELSE r.donor_name_normalized || '|id:' || r.sub_id END AS own_key
-            FROM (SELECT * FROM {staged} WHERE {blank}) r LEFT JOIN zipped z
-              ON r.donor_name_normalized = z.donor_name_normalized
-              AND r.donor_address_normalized = z.donor_address_normalized
-              AND z.donor_address_normalized <> '' {same_day}
-            GROUP BY {", ".join("r." + c for c in columns.split(", "))}""",
+        "known": f"SELECT *, CASE WHEN {usable} THEN zip_normalized END AS own_zip FROM {staged}",
+        "offered": f"""
+            SELECT *, CASE WHEN own_zip IS NULL THEN (SELECT min(c.zip_normalized) {candidates}) END AS first_zip,
+              CASE WHEN own_zip IS NULL THEN (SELECT max(c.zip_normalized) {candidates}) END AS last_zip
+            FROM known r""",
+        "judged": f"SELECT *, {"coalesce(first_zip < last_zip, FALSE)" if route else "FALSE"} AS identity_conflict FROM offered",
         "keyed": f"""
-            SELECT {columns}, canonical_key, 'rule1' AS match_rule, FALSE AS identity_conflict FROM zipped
-            UNION ALL
-            SELECT {columns}, {key}, CASE WHEN min_key IS NOT NULL OR donor_address_normalized <> '' THEN 'rule2'
-              ELSE 'no_match' END, {"n_keys > 1" if route else "FALSE"} FROM unzipped""",
-        "dim": f"""
+            SELECT *, donor_name_normalized || coalesce('|zip:' || {chosen},
+                CASE WHEN donor_address_normalized = '' OR identity_conflict THEN '|id:' || sub_id ELSE '|addr:' || donor_address_normalized END) AS canonical_key,
+              CASE WHEN own_zip IS NOT NULL THEN 'rule1' WHEN first_zip IS NULL AND donor_address_normalized = '' THEN 'no_match' ELSE 'rule2' END AS match_rule
+            FROM judged""",
+        "dim": """
             SELECT md5(canonical_key) AS donor_id, sub_id, donor_name_normalized, donor_address_normalized,
               zip_normalized, match_rule, identity_conflict, load_date FROM keyed""",
     }
@@ -175,6 +174,13 @@ def _upserted(target: str, source: str, columns: str = "*") -> str:
     UNION ALL SELECT {columns} FROM {source}"""
 
 
+def _prefixed(text: str) -> str:
+    """The identity CTEs under other names, for a second use in one statement."""
+    for name in ("known", "offered", "judged", "keyed"):
+        text = text.replace(f"FROM {name}", f"FROM first_{name}")
+    return text
+
+
 RESENT = {"amended": AMENDED, "resent": _staged_from("amended")}
 
 FALLBACK = "donor_name_normalized, contribution_date, contribution_amount, sub_id, load_date"
@@ -335,7 +341,7 @@ ORACLES: dict[str, str] = {
             QUALIFY contribution_date IS NULL OR contribution_amount IS NULL OR row_number() OVER (
               PARTITION BY donor_name_normalized, contribution_date, contribution_amount ORDER BY sub_id) = 1""",
     ),
-    "rule1_keys": _over_identity("SELECT sub_id, canonical_key FROM zipped"),
+    "rule1_keys": _over_identity("SELECT sub_id, canonical_key FROM keyed WHERE match_rule = 'rule1'"),
     "rule2_keys": _over_identity("SELECT sub_id, canonical_key, match_rule FROM keyed WHERE match_rule <> 'rule1'"),
     "identity_resolution": _over_identity("SELECT * FROM dim"),
     "identity_all_dates": _over_identity("SELECT * FROM dim", scope="all"),
@@ -348,12 +354,7 @@ ORACLES: dict[str, str] = {
         _upserted("first_dim", "dim"),
         **STAGED,
         **RESENT,
-        **{
-            f"first_{name}": text.replace("zipped", "first_zipped").replace("unfirst_", "first_un").replace(
-                "FROM keyed", "FROM first_keyed"
-            )
-            for name, text in _identity("staged").items()
-        },
+        **{f"first_{name}": _prefixed(text) for name, text in _identity("staged").items()},
         **_identity("resent"),
     ),
     "identity_tables": _over_identity(

@@ -10,10 +10,10 @@ SCORE = T.DecimalType(4, 2)
 
 # The 21 source columns in file order.
 SOURCE_COLUMNS = (
-    "CMTE_ID AMNDT_IND RPT_TP TRANSACTION_PGI IMAGE_NUM TRANSACTION_TP ENTITY_TP "
-    "NAME CITY STATE ZIP_CODE EMPLOYER OCCUPATION TRANSACTION_DT TRANSACTION_AMT "
-    "OTHER_ID TRAN_ID FILE_NUM MEMO_CD MEMO_TEXT SUB_ID"
-).split()
+    "CMTE_ID", "AMNDT_IND", "RPT_TP", "TRANSACTION_PGI", "IMAGE_NUM", "TRANSACTION_TP", "ENTITY_TP",
+    "NAME", "CITY", "STATE", "ZIP_CODE", "EMPLOYER", "OCCUPATION", "TRANSACTION_DT", "TRANSACTION_AMT",
+    "OTHER_ID", "TRAN_ID", "FILE_NUM", "MEMO_CD", "MEMO_TEXT", "SUB_ID",
+)
 
 
 def _table(**columns: T.DataType) -> T.StructType:
