@@ -3,10 +3,12 @@
 Everything is DataFrame code. Sources, in code-point order with null last, take the given weights in turn and share
 ``share`` times all tokens. A target stops at ``limit`` times its source's tokens and the excess is shared again by
 weight until no target is above. A document is then taken floor(rate) times, and once more when its own draw is below
-the fraction. The draw is a hash of the id and the text, so reruns and lost executors change nothing.
+the fraction. The draw is a hash of the id and the text, so reruns and lost executors change nothing. The n rows that
+repeat an id, source and text are numbered and have draws 1/n apart, so that together they get n times the fraction.
 
 Defined results: a null or empty text has size 0 and may still be copied (0 tokens); a null source is a source of its
-own; rows that repeat id and text share one draw; an empty table gives no rows. A source without tokens has target 0.
+own; which of the rows that repeat id, source and text get a copy more is arbitrary where their other columns differ,
+how many is not; an empty table gives no rows. A source without tokens has target 0.
 
 The ranking and the levelling run over one row for each source, which is as long as the list of weights an operator of
 a mix keeps, and not as long as the data. Documents meet the targets in a join that Spark broadcasts only when the
@@ -33,11 +35,42 @@ def draw_of(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(seed), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size and draw of each row."""
+SAME = ("doc_id", "source", "key")
+
+
+def sized(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source, size, text key and draw of each row."""
     text = F.col("text").cast("string")
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), size_of(text).alias("size"),
-                       draw_of(F.col("doc_id"), text).alias("draw"))
+                       text_key(text).alias("key"), draw_of(F.col("doc_id"), text).alias("draw"), *more)
+
+
+def _matching(rows: DataFrame, found: DataFrame, how: str, *more: str) -> DataFrame:
+    """Join on the columns of a repeat, null equal to null."""
+    left, right = rows.alias("l"), found.alias("r")
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*SAME, *more)]
+    joined = left.join(right, on, how)
+    return joined if how == "left_anti" else joined.select("l.*", *[f"r.{c}" for c in found.columns if c not in (*SAME, *more)])
+
+
+def with_own_draws(rows: DataFrame, steps: Steps) -> DataFrame:
+    """Rows of `sized` where each repeat has a draw of its own.
+
+    Repeats are counted first, combined on the map side. Only their rows are numbered: within each partition of the
+    table, and from the counts of the partitions before, so that the repeats of one document are never in one task.
+    """
+    repeats = steps.keep(rows.groupBy(*SAME).agg(F.count("*").alias("n")).where("n > 1"), "repeats")
+    if repeats.isEmpty():
+        return rows
+    marked = steps.keep(_matching(rows.withColumn("part", F.spark_partition_id()), repeats, "inner"), "repeated")
+    counts = marked.groupBy(*SAME, "part").agg(F.count("*").alias("here"))
+    earlier = Window.partitionBy(*SAME).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*SAME, "part", F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("earlier"))
+    within = F.row_number().over(Window.partitionBy(*SAME, "part").orderBy("size")) - 1
+    numbered = _matching(marked.withColumn("within", within), counts, "inner", "part")
+    spread = F.col("draw") + (F.col("earlier") + F.col("within")) / F.col("n")
+    own = numbered.withColumn("draw", spread - F.floor(spread)).select(*rows.columns)
+    return _matching(rows, repeats, "left_anti").unionByName(own)
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
@@ -81,9 +114,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limi
     """The mix itself: every row of ``docs`` with all its columns, as often as it is taken."""
     steps = Steps(docs.sparkSession, "mixed")
     targets = steps.keep(source_targets(sized(docs), weights, share, limit), "targets")
-    text = F.col("text").cast("string")
-    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"),
-                       draw_of(F.col("doc_id"), text).alias("draw")).alias("d")
+    rows = with_own_draws(sized(docs, F.struct("*").alias("row")), steps).alias("d")
     met = rows.join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
     met = met.select("row", "draw", "source_size", "target").withColumn("n", copies_of())
     return met.where("n > 0").select(F.explode(F.array_repeat("row", F.col("n").cast("int"))).alias("row")).select("row.*")
@@ -94,7 +125,7 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: fl
     steps = Steps(docs.sparkSession, "mix")
     sizes = steps.keep(sized(docs), "sizes")
     targets = steps.keep(source_targets(sizes, weights, share, limit), "targets")
-    return mix(sizes, targets)
+    return mix(with_own_draws(sizes, steps), targets)
 
 
 def op1_mix_sources(spark, sf_dir):
@@ -102,12 +133,17 @@ def op1_mix_sources(spark, sf_dir):
 
 
 OP1_SQL = """
-WITH sizes AS (
+WITH drawn AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
          CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 13)) AS BIGINT)
-           / 4503599627370496.0::DOUBLE AS draw
+           / 4503599627370496.0::DOUBLE AS first_draw,
+         row_number() OVER (PARTITION BY doc_id, source, text) - 1 AS number, count(*) OVER (PARTITION BY doc_id, source, text) AS repeats
   FROM documents),
+sizes AS (
+  SELECT doc_id, source, size, CASE WHEN repeats = 1 THEN first_draw
+           ELSE first_draw + number / repeats::DOUBLE - floor(first_draw + number / repeats::DOUBLE) END AS draw
+  FROM drawn),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
 weighted AS (
   SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w,

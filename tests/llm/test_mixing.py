@@ -60,6 +60,20 @@ def test_taken_comes_near_the_targets(spark):
         assert taken == pytest.approx(target, rel=0.15)
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_repeats_have_draws_of_their_own(spark, doc_id):
+    """200 equal rows at a rate of 0.75: taken 0 or 3 tokens each, and 450 in all, whatever their partitions."""
+    equal = [(doc_id, "one two three", "en", "hot", i) for i in range(200)]
+    others = [(1000 + i, f"w{i} x y", "en", "cold", 0) for i in range(200)]
+    docs = spark.createDataFrame(equal + others, "doc_id long, text string, lang string, source string, n_chars int")
+    for parts in (1, 5):
+        rows = mixing.mix_report(docs.repartition(parts), weights=(1, 1), share=0.75).where("source = 'hot'").collect()
+        assert len(rows) == 200 and {r.target for r in rows} == {450.0}
+        assert abs(sum(r.taken for r in rows) - 450) <= 3
+        mixed = mixing.mixed_documents(docs.repartition(parts), weights=(1, 1), share=0.75).where("source = 'hot'").collect()
+        assert len(mixed) == sum(r.copies for r in rows) and len({r.n_chars for r in mixed}) == len(mixed)
+
+
 def test_documents_are_emitted_with_all_columns(spark):
     docs = messy(spark)
     mixed = mixing.mixed_documents(docs)
