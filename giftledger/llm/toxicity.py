@@ -5,10 +5,14 @@ The terms of a text are its lower-cased runs of letters and the first six letter
 each term and, for each pair of terms in a document, the inner product of two learned vectors: that is what a pair
 such as an insult and a group it is aimed at adds beyond the two words.
 
-It learns from labelled rows that are not held out, at most `TRAIN_ROWS` of them (the smallest hashes of the id). Terms
-are kept when at least `MIN_ROWS` of those rows have them and their share of toxic rows differs from the overall one by
-`MIN_Z` standard errors. The kept part of the sample is small and the machine is trained on the driver; every document
-is then scored whole, in tasks that hold the machine and nothing else.
+It learns from labelled rows that are not held out, at most `TRAIN_ROWS` of them (the smallest hashes of the id) with at
+most `ENTRIES` terms in all. Every term that at least `MIN_ROWS` of those rows have takes part. Terms whose share of toxic
+rows differs from the overall one by `MIN_Z` standard errors are learned first. What that machine leaves unexplained is
+then searched for pairs among all terms, also those that tell nothing alone: the leading eigenvectors of the matrix
+that adds up, for each two terms, the residuals of the documents with both. A direction stronger than any that shuffled
+residuals give (`SHUFFLES` times) is a pair or group of terms; they join, and the machine is trained again with
+vectors that start from it. The sample is trained on the driver, in packed arrays; every document is then scored whole,
+in tasks that hold the machine and nothing else.
 
 Labels, language, source and id are no inputs.
 
@@ -32,7 +36,9 @@ from pyspark.sql import functions as F
 from .common import Steps, held_out, label_of, read, text_key
 
 TRAIN_ROWS, BUCKETS, PREFIX = 20_000, 2**18, 6
-MIN_ROWS, MIN_Z = 8, 3.0
+MIN_ROWS, MIN_Z, ENTRIES = 8, 3.0, 12_000_000
+#: Search for pairs: steps of the eigenvector search, shuffles, margin over them, and the least part of a term in a direction.
+STEPS, SHUFFLES, MARGIN, PART = 24, 3, 1.1, 0.2
 RANK, EPOCHS, BATCH, RATE, SEED = 4, 30, 128, 0.05, 1
 LINEAR_DECAY, PAIR_DECAY, LEAST = 1e-4, 1e-3, 0.7
 
@@ -89,6 +95,9 @@ class Machine:
         z = float(self.bias + self.linear[at] @ values + pairs)
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
+    def margins(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        return np.array([self.score(at, x) for at, x in rows])
+
     def train(self, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> None:
         """Logistic loss by mini-batches with adaptive moments; rows and their order are fixed, so the result is too."""
         if not len(self.linear) or not 0 < y.mean() < 1:
@@ -125,6 +134,58 @@ class Machine:
                     values[used] -= RATE * move
 
 
+class Sample:
+    """Labelled rows as packed arrays: the terms of all rows one after the other, their values, and where rows begin."""
+
+    def __init__(self, at: np.ndarray, values: np.ndarray, sizes: np.ndarray, y: np.ndarray, terms: int):
+        self.at, self.values, self.sizes, self.y, self.terms = at, values, sizes, y, terms
+        self.ends = np.cumsum(sizes)
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+    def rows(self, place: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The rows with the terms that have a place (not -1), under that place."""
+        new = place[self.at]
+        kept = new >= 0
+        sizes = np.bincount(self.row[kept], minlength=len(self.sizes))
+        parts = np.cumsum(sizes)[:-1]
+        return list(zip(np.split(new[kept], parts), np.split(self.values[kept], parts)))
+
+    def together(self, residual: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The matrix of pairs times a vector: sums of residual * value * value over the documents with both terms."""
+        sums = np.bincount(self.row, self.values * u[self.at], len(self.sizes))
+        own = np.bincount(self.at, self.values * self.values * residual[self.row], self.terms)
+        return np.bincount(self.at, self.values * (residual * sums)[self.row], self.terms) - own * u
+
+
+def directions(sample: Sample, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest eigenvalues of the matrix of pairs and their eigenvectors, by the Lanczos method."""
+    n = sample.terms
+    basis, alpha, beta = np.zeros((min(STEPS, n), n)), [], []
+    q = np.random.default_rng(SEED).normal(size=n)
+    for j in range(len(basis)):
+        basis[j] = q / np.linalg.norm(q)
+        q = sample.together(residual, basis[j])
+        alpha.append(basis[j] @ q)
+        for _ in range(2):
+            q -= basis[:j + 1].T @ (basis[:j + 1] @ q)
+        beta.append(np.linalg.norm(q))
+        if beta[-1] <= 1e-12 * max(1e-300, np.abs(alpha).max()):
+            break
+    m = len(alpha)
+    values, inner = np.linalg.eigh(np.diag(alpha) + np.diag(beta[:m - 1], 1) + np.diag(beta[:m - 1], -1))
+    return values[::-1][:RANK], basis[:m].T @ inner[:, ::-1][:, :RANK]
+
+
+def pairs(sample: Sample, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that stand out in directions stronger than chance, and their parts in each (0 elsewhere)."""
+    draw = np.random.default_rng(SEED)
+    chance = max(directions(sample, draw.permutation(residual))[0][0] for _ in range(SHUFFLES))
+    values, vectors = directions(sample, residual)
+    vectors = vectors / np.abs(vectors).max(axis=0)
+    vectors = np.where((np.abs(vectors) >= PART) & (values > MARGIN * chance), vectors, 0.0)
+    return np.flatnonzero(vectors.any(axis=1)), vectors
+
+
 def _buckets(batches):
     for batch in batches:
         rows = []
@@ -155,24 +216,57 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, steps: Steps, train_rows
     seen = rows.select("y", F.explode("b").alias("b")).groupBy("b").agg(F.count("*").alias("n"), F.sum("y").alias("toxic"))
     expected = F.col("n") * F.lit(share)
     spread = F.sqrt(expected * (1 - share) * (1 - F.col("n") / max(total["n"], 1)) + 0.25)
-    kept = seen.where((F.col("n") >= MIN_ROWS) & (F.abs(F.col("toxic") - expected) >= MIN_Z * spread))
-    machine = Machine(sorted(r["b"] for r in kept.select("b").collect()), share)  # at most BUCKETS numbers
-    place = machine.place
+    telling = (F.abs(F.col("toxic") - expected) >= MIN_Z * spread).alias("telling")
+    kept = seen.where(F.col("n") >= MIN_ROWS).select("b", telling).toArrow()  # at most BUCKETS rows
+    if not kept.num_rows or not 0 < share < 1:
+        return Machine([], share)
+    order = np.argsort(kept.column("b").to_numpy())
+    buckets, alone = kept.column("b").to_numpy()[order], np.flatnonzero(kept.column("telling").to_numpy(zero_copy_only=False)[order])
+    sample = _packed(rows, buckets)
+    machine, data = _trained(sample, buckets, alone, share)
+    more, vectors = pairs(sample, sample.y - machine.margins(data))
+    if len(more):
+        machine, _ = _trained(sample, buckets, np.union1d(alone, more), share, vectors)
+    return machine
+
+
+def _trained(sample: Sample, buckets: np.ndarray, terms: np.ndarray, share: float, start: np.ndarray | None = None):
+    """A machine over some of the terms, and the sample's rows in its places."""
+    place = np.full(len(buckets), -1, np.int64)
+    place[terms] = np.arange(len(terms))
+    machine, data = Machine(buckets[terms].tolist(), share), sample.rows(place)
+    if start is not None:
+        machine.vectors[:, :start.shape[1]] += 0.3 * start[terms]
+    machine.train(data, sample.y)
+    return machine, data
+
+
+def _packed(rows: DataFrame, buckets: np.ndarray) -> Sample:
+    """The sample's rows with the given terms, from the smallest hash until `ENTRIES` terms are reached."""
+    sizes = rows.select(F.xxhash64("doc_id").alias("h"), F.size("b").alias("terms")).toArrow().sort_by("h")  # at most TRAIN_ROWS rows
+    fits = np.flatnonzero(np.cumsum(sizes.column("terms").to_numpy()) <= ENTRIES)
+    last = int(sizes.column("h").to_numpy()[fits[-1]]) if len(fits) else int(sizes.column("h").to_numpy()[0])
 
     def chosen(batches):
         for batch in batches:
-            at, x = [], []
-            for b, n, words in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-                here = sorted((place[k], density(c, words)) for k, c in zip(b, n) if k in place)
-                at.append([h[0] for h in here])
-                x.append([h[1] for h in here])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.float64()))],
-                                             ["doc_id", "y", "at", "x"])
-
-    small = rows.select("doc_id", "y", "b", "n", "words").mapInArrow(chosen, "doc_id long, y int, at array<int>, x array<double>").collect()
-    small.sort(key=lambda r: r["doc_id"])
-    machine.train([(np.array(r["at"], np.int64), np.array(r["x"])) for r in small], np.array([float(r["y"]) for r in small] or [0.0]))
-    return machine
+            at, x, held = [], [], []
+            for b, n, words in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist()):
+                b, n = b.values.to_numpy(), n.values.to_numpy()
+                where = np.searchsorted(buckets, b).clip(max=len(buckets) - 1)
+                known = buckets[where] == b
+                order = np.argsort(where[known])
+                at.append(where[known][order].astype(np.int32))
+                x.append(np.log1p(100 * n[known][order] / max(words, 10)).astype(np.float32))
+                held.append(len(at[-1]))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(p) if p else np.empty(0, t))) for p, t in ((at, np.int32), (x, np.float32))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "y", "at", "x"])
+
+    small = rows.where(F.xxhash64("doc_id") <= last).select("doc_id", "y", "b", "n", "words")
+    small = small.mapInArrow(chosen, "doc_id long, y int, at array<int>, x array<float>").toArrow().sort_by("doc_id").combine_chunks()
+    at, x = (small.column(c).combine_chunks() if small.column(c).num_chunks != 1 else small.column(c).chunk(0) for c in ("at", "x"))
+    sizes = np.diff(at.offsets.to_numpy()).astype(np.int64)
+    return Sample(at.flatten().to_numpy(), x.flatten().to_numpy().astype(np.float64), sizes, small.column("y").to_numpy().astype(float), len(buckets))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows: int = TRAIN_ROWS) -> DataFrame:

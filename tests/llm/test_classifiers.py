@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -111,3 +112,45 @@ def test_the_sample_is_bounded(spark):
     few = toxicity.fit(docs, labels, "toxic", Steps(spark, "few"), train_rows=300)
     assert len(few.place) < 2000
     assert toxicity.terms_of("é" * 9) and prose(1, 3)
+
+
+def pair_documents(n=6000):
+    """Toxic when both of two words occur, each of them harmless alone and hardly more frequent in toxic rows than chance allows."""
+    draw, vocabulary = random.Random(3), [f"w{i:03d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(800)]
+    docs, labels = [], []
+    for i in range(n):
+        words, insult, group = draw.choices(vocabulary, k=draw.randrange(10, 60)), draw.random() < 0.22, draw.random() < 0.22
+        words += ["insult"] * insult + ["group"] * group
+        draw.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(insult and group)))
+    return docs, labels
+
+
+def test_a_pair_is_learned_through_fit(spark, monkeypatch):
+    """Also when no term may be kept for what it tells alone."""
+    docs, labels = pair_documents()
+    truth = dict(labels)
+    frames = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int")
+    for alone in (toxicity.MIN_Z, 1e9):
+        monkeypatch.setattr(toxicity, "MIN_Z", alone)
+        held = [r for r in toxicity.toxicity_scores(*frames).collect() if r.held_out]
+        caught = [r.predicted for r in held if truth[r.doc_id]]
+        assert len(caught) > 50 and sum(caught) >= 0.9 * len(caught)
+        assert sum(r.predicted for r in held if not truth[r.doc_id]) <= 0.01 * len(held)
+
+
+def test_no_pairs_are_found_in_noise():
+    draw = np.random.default_rng(4)
+    sizes = draw.integers(5, 20, 500)
+    at = np.concatenate([draw.choice(60, n, replace=False) for n in sizes])
+    sample = toxicity.Sample(at, np.ones(len(at)), sizes, draw.integers(0, 2, 500).astype(float), 60)
+    dense = np.zeros((500, 60))
+    dense[sample.row, at] = 1
+    residual = sample.y - sample.y.mean()
+    matrix = dense.T @ (dense * residual[:, None])
+    np.fill_diagonal(matrix, 0)
+    u = draw.normal(size=60)
+    assert np.allclose(sample.together(residual, u), matrix @ u)
+    assert toxicity.directions(sample, residual)[0][0] == pytest.approx(np.linalg.eigvalsh(matrix)[-1], rel=0.02)
+    assert len(toxicity.pairs(sample, residual)[0]) == 0
