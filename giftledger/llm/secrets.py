@@ -1,15 +1,19 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is an assigned value of at least eight characters (`name = value`, `name: value`, quoted or not) or any
+A candidate is an assigned value of at least eight characters (`name = value`, `name: value`, quoted or not; one of
+letters only where the name says it is a secret), the password of a URL (`scheme://user:password@`), any
 run of at least sixteen characters of the alphabets keys are written in that has a letter and a digit, or the body
 marker of a private key. Each gets the features of its own characters (length, classes, entropy, how
-usual its character transitions are in the corpus's words, how much of it the corpus's words cover) and of its
+usual its character transitions are in the corpus's words, how much of it the corpus's words cover, how much of it are
+pieces of one kind as in identifiers) and of its
 surroundings (path or URL, quotes, assignment, words before it that name secrets or harmless identifiers).
 
 The forest is trained from labelled findings: a frame of (before, value, after, secret), by default
-`labelled_findings`, which sets known key formats and known harmless formats among words of the corpus; the
-corpus's own findings are never trained on. Words and character pairs are counted over all texts; the scorer holds those
-with at least one in `WORDS` of all occurrences, so never more than `WORDS` of each.
+`labelled_findings`, which sets known key formats and known harmless formats among words of the corpus, keys with and
+without a secret's name before them, harmless values likewise, so that neither the name nor the format decides alone; the
+corpus's own findings are never trained on. A word is a run of 2 to 24 letters; words and character pairs are counted
+over all texts. The scorer holds all pairs of Latin letters (below U+0250, fewer than 600) and of the words and other pairs
+those with at least one in `WORDS` of all occurrences, so never more than `WORDS` of each.
 
 Values that are no secret, and values that hold a URL, are looked at again inside: `name=value` and `name:value` in
 them, the latter up to the next separator, and runs. If one of those is a secret, they take the place of the whole value.
@@ -27,21 +31,25 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Steps, read
 
-WORDS, FINDINGS, SEED = 500_000, 6_000, 11
+WORDS, FINDINGS, SEED, LATIN = 500_000, 6_000, 11, 0x250
 TREES, DEPTH, LEAF, BINS, LEAST = 60, 9, 4, 16, 0.5
 MASK = "[SECRET]"
 
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")  # "=" only pads: before a value it assigns
-ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"']?([^\s\"'&,;<>()\[\]{}|]{8,})")
+ASSIGNED = re.compile(r"[=:][ \t]{0,3}[\"']?([^\s\"'&,;<>()\[\]{}|]{7,}[^\s\"'&,;<>()\[\]{}|.])")  # a dot at the end is the sentence's
 #: Assigned inside a value: after "=" up to the next "=" or the "?" of a query, after ":" up to the next ":" too; padding at the end belongs to it.
 INSIDE = re.compile(r"=((?:[^=?]|\?(?![\w.-]{1,40}=)){8,}(?:={1,2}\Z)?)|:((?:[^=:?]|\?(?![\w.-]{1,40}=)){8,}(?:={1,2}\Z)?)")
+#: The password of a URL.
+CREDENTIAL = re.compile(r"//[^\s:/@\"']{0,80}:([^\s:/@\"']{4,})@")
 KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
+UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+DAY = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
 NAME = re.compile(r"([A-Za-z][\w.-]{0,40})[\"']?[ \t]{0,3}$")
 # fixed values: words that name secrets, and words that name harmless identifiers
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "auth", "credential", "bearer", "private", "access")
@@ -53,6 +61,11 @@ def _assignable(value: str) -> bool:
     return not value.startswith("//") and not value.isalpha() and re.search(r"[A-Za-z]", value) is not None
 
 
+def _names_a_secret(before: str) -> bool:
+    name = NAME.search(before)
+    return name is not None and any(w in name.group(1).lower() for w in SECRET_WORDS)
+
+
 def _runs(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return [m.span() for m in RUN.finditer(text, start, end) if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group())]
 
@@ -69,7 +82,8 @@ def _outermost(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _assigned_inside(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """Values assigned inside text[start:end]; an end of the slice is an end of the value."""
     spans = [(start + m.start(m.lastindex), start + m.end(m.lastindex)) for m in INSIDE.finditer(text[start:end])]
-    return [(a, b) for a, b in spans if _assignable(text[a:b])]
+    passwords = [m.span(1) for m in CREDENTIAL.finditer(text, start, end)]
+    return passwords + [(a, b) for a, b in spans if _assignable(text[a:b]) and not any(a < d and c < b for c, d in passwords)]
 
 
 def candidates_inside(text: str, start: int, end: int) -> list[tuple[int, int]]:
@@ -84,6 +98,8 @@ def candidates(text: str) -> list[tuple[int, int]]:
     for m in ASSIGNED.finditer(text):
         if _assignable(m.group(1)):
             found.append(m.span(1))
+        elif m.group(1).isalpha() and _names_a_secret(text[max(0, m.start() - 45):m.start()]):
+            found.append(m.span(1))
         elif m.group(1).startswith("//"):
             found += _assigned_inside(text, *m.span(1))
     return _outermost(found + _runs(text, 0, len(text)))
@@ -98,19 +114,33 @@ class Language:
             firsts = Counter(c for w in words for c in w[:-1])
         self.follow = {p: math.log2((n + 1) / (firsts[p[0]] + 64)) for p, n in pairs.items()}
         self.words = {w for w in words if len(w) >= 4}
+        self.longest = max(map(len, self.words), default=0)
 
     def transitions(self, value: str) -> float:
         pairs = list(zip(value.lower(), value.lower()[1:]))
         return sum(self.follow.get(p, -9.0) for p in pairs) / max(len(pairs), 1)
 
+    def letters(self, value: str) -> float:
+        """Transitions between letters only; as usual as can be where there are none."""
+        known = [self.follow.get(p, -9.0) for p in zip(value.lower(), value.lower()[1:]) if p[0].isalpha() and p[1].isalpha()]
+        return sum(known) / len(known) if known else 0.0
+
     def covered(self, value: str) -> float:
         low, at, n = value.lower(), 0, 0
         while at < len(low):
-            size = next((k for k in range(min(14, len(low) - at), 3, -1) if low[at:at + k] in self.words), 0)
+            size = next((k for k in range(min(self.longest, len(low) - at), 3, -1) if low[at:at + k] in self.words), 0)
             n, at = n + size, at + max(size, 1)
         return n / max(len(low), 1)
 
 
+def pieces(value: str) -> tuple[float, float]:
+    """Share of the characters in pieces of one kind (digits, or letters in one case or with a capital), and length of the longest other piece."""
+    parts = re.findall(r"[^\W_]+", value)
+    plain = [p for p in parts if len(p) > 1 and (p.isdigit() or p.isalpha() and (p.islower() or p.isupper() or p.istitle()))]
+    mixed = [len(p) for p in parts if not (p.isdigit() or re.fullmatch(r"[a-z]*(?:[A-Z][a-z]+)*[0-9]*|[A-Z]+[0-9]{0,4}", p))]
+    return sum(map(len, plain)) / max(sum(map(len, parts)), 1), float(max(mixed, default=0))
+
+
 def features(language: Language, before: str, value: str, after: str) -> list[float]:
     size = max(len(value), 1)
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in value]
@@ -130,6 +160,7 @@ def features(language: Language, before: str, value: str, after: str) -> list[fl
         float(before[-1:] in ("'", '"')), float(left[-1:] in ("=", ":")), float(any(p in SECRET_WORDS for p in parts)),
         float(any(w in named for w in SECRET_WORDS)), float(any(p in HARMLESS_WORDS for p in parts)),
         float(bool(nearby & set(SECRET_WORDS))), float(bool(nearby & set(HARMLESS_WORDS))), float(value.startswith("-----BEGIN")),
+        *pieces(value), language.letters(value), float(before[-1:] == ":" and after[:1] == "@"), float(DAY.match(value) is not None), float(UUID.fullmatch(value) is not None),
     ]
 
 
@@ -171,11 +202,11 @@ class Forest:
         return total / len(self.trees)
 
 
-def corpus_statistics(docs: DataFrame, most: int = WORDS) -> tuple[list[str], dict[tuple[str, str], int], dict[str, int]]:
+def corpus_statistics(docs: DataFrame, most: int = WORDS, whole_below: int = 0) -> tuple[list[str], dict[tuple[str, str], int], dict[str, int]]:
     """Words of letters (most frequent first), pairs of characters in them, and first characters of pairs with their counts.
 
-    All rows count. Of words and of pairs those are returned that have at least one in ``most`` of all occurrences, which
-    no more than ``most`` can have; first characters are no more than there are letters.
+    All rows count. Pairs of characters below ``whole_below`` are all returned; of words and of other pairs those that have at least one in
+    ``most`` of all occurrences, which no more than ``most`` can have; first characters are no more than there are letters.
     """
     steps = Steps(docs.sparkSession, "secrets")
     each = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"(?<![\p{L}\p{N}])\p{L}{2,24}(?![\p{L}\p{N}])"), F.lit(0))).alias("w"))
@@ -183,54 +214,117 @@ def corpus_statistics(docs: DataFrame, most: int = WORDS) -> tuple[list[str], di
     inside = F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring(F.col("w"), i, F.lit(2)))
     pairs = steps.keep(words.select(F.explode(inside).alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n")), "pairs")
 
-    def frequent(counted: DataFrame, name: str):
+    def frequent(counted: DataFrame, name: str, always: Column = F.lit(False)):
         total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-        table = counted.where(F.col("n") * most >= total).select(name, "n").toArrow()
+        table = counted.where((F.col("n") * most >= total) | always).select(name, "n").toArrow()
         return sorted(zip(table.column(0).to_pylist(), table.column(1).to_pylist()), key=lambda x: (-x[1], x[0]))
 
+    whole = (F.ascii("p") < whole_below) & (F.ascii(F.substring("p", 2, 1)) < whole_below)
     firsts = pairs.groupBy(F.substring("p", 1, 1).alias("c")).agg(F.sum("n").alias("n"))
-    found = [w for w, _ in frequent(words, "w")], {(p[0], p[1]): n for p, n in frequent(pairs, "p")}, {r["c"]: r["n"] for r in firsts.collect()}
+    found = [w for w, _ in frequent(words, "w")], {(p[0], p[1]): n for p, n in frequent(pairs, "p", whole)}, {r["c"]: r["n"] for r in firsts.collect()}
     steps.drop("words", "pairs")
     return found
 
 
-def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, str, str, int]]:
-    """(before, value, after, secret): key formats where keys stand, and what is mistaken for them, among the words given."""
-    draw = np.random.default_rng(seed)
-    words = words or ["the", "and", "value", "with", "from", "this"]
+def made_up_words(language: Language, n: int, draw: np.random.Generator) -> list[str]:
+    """Words that the corpus does not have, from its character transitions."""
+    after: dict[str, list[tuple[str, float]]] = {}
+    for (one, two), weight in sorted(language.follow.items()):
+        if one.isascii() and two.isascii():
+            after.setdefault(one, []).append((two, 2.0**weight))
+    starts, out = sorted(after), []
+    for _ in range(n if starts else 0):
+        word = starts[int(draw.integers(len(starts)))]
+        for _ in range(int(draw.integers(2, 8))):
+            if word[-1] not in after:
+                break
+            letters, weights = zip(*after[word[-1]])
+            word += letters[int(np.searchsorted(np.cumsum(weights), draw.random() * sum(weights)).clip(0, len(letters) - 1))]
+        out.append(word)
+    return out
+
+
+def findings_by_kind(words: list[str], language: Language, draw: np.random.Generator) -> dict[str, tuple[int, object]]:
+    """For each kind of finding: whether it is a secret, and a function that draws one as (before, value, after)."""
+    words = [w for w in words if w.isascii()] or ["the", "and", "value", "with", "from", "this"]
+    known, made = words[:20_000], made_up_words(language, 2_000, draw) or words
     pick = lambda options: options[int(draw.integers(len(options)))]
+    word = lambda: pick(known) if draw.random() < 0.5 else pick(made)
     chars = lambda alphabet, k: "".join(alphabet[i] for i in draw.integers(0, len(alphabet), k))
-    prose = lambda k: " ".join(pick(words) for _ in range(k))
+    prose = lambda k: " ".join(pick(known) for _ in range(k))
+    snake = lambda mark, least=2, most=5: mark.join(word() for _ in range(int(draw.integers(least, most))))
     digits, hexa, lower, upper = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     base = lower + upper + digits
-    keys = [
-        lambda: chars(pick([hexa, hexa.upper()]), pick([24, 32, 40, 40, 48, 64])), lambda: chars(base + "+/", pick([40, 44, 64])),
-        lambda: "AKIA" + chars(upper + digits, 16), lambda: "ghp_" + chars(base, 36), lambda: "sk_live_" + chars(base, 24),
-        lambda: "xoxb-" + chars(digits, 11) + "-" + chars(base, 24), lambda: "AIza" + chars(base + "_-", 35),
-        lambda: "eyJ" + chars(base + "_-", 30) + "." + chars(base + "_-", 40), lambda: chars(base + "!@#$%^*", pick([10, 12, 16, 20])),
-        lambda: "-----BEGIN " + pick(["", "RSA ", "EC ", "OPENSSH "]) + "PRIVATE KEY-----",
-    ]
-    names = ["token", "api_key", "apikey", "secret", "password", "passwd", "access_token", "client_secret", "auth_token", "secret_key", "API_KEY", "TOKEN", "PASSWORD"]
-    harmless = [
-        lambda: "_".join(pick(words) for _ in range(3)) + "_" + chars(digits, 2), lambda: "/".join(pick(words) for _ in range(4)) + "/v" + chars(digits, 1),
-        lambda: "".join(pick(words).capitalize() for _ in range(3)) + chars(digits, 3), lambda: pick(words) + chars(digits, 12),
-        lambda: "-".join(chars(hexa, k) for k in (8, 4, 4, 4, 12)), lambda: chars(hexa, pick([32, 40, 64])),
-        lambda: pick(["x", "0", "a", "1"]) * int(draw.integers(16, 40)) + "a1", lambda: "20" + chars(digits, 2) + "-01-" + chars(digits, 2) + "T" + chars(digits, 6) + "Z",
-        lambda: pick(words) + "-" + pick(words) + "-" + chars(digits, 4) + "-" + pick(words), lambda: pick(words) + "." + pick(words) + "/" + pick(words) + "?p=" + chars(digits, 3),
-    ]
-    plain = ["commit ", "sha256:", "sha1 ", "md5 = ", "hash: ", "checksum = \"", "etag: \"", "id=", "uuid: ", "build ", "version = \"", "https://www." + pick(words) + ".com/", "/", "see ", "", "path = \"", "url: "]
-    found = []
-    for i in range(n):
-        lead = prose(4) + " "
-        if i % 2:
-            quote, mark = pick(['"', "'", "", '"']), pick([" = ", "=", ": ", ":", " : "])
-            before = lead + pick(names) + mark + quote if draw.random() < 0.9 else lead + pick(["Authorization: Bearer ", "-H 'X-Auth: ", "export AWS_SECRET_ACCESS_KEY="])
-            found.append((before, pick(keys)(), quote + pick([" ", "\n", "!!", "###", ", ", ""]) + prose(1), 1))
-        elif draw.random() < 0.2:  # a secret's name before something that is none
-            found.append((lead + pick(names) + pick([" = \"", ": "]), pick(["your_" + pick(words) + "_here", pick(words) + pick(words) + "_1", "x" * 20 + "1", "EXAMPLE" + pick(words) + "1"]), "\" ", 0))
-        else:
-            found.append((lead + pick(plain), pick(harmless)(), pick([" ", "\" ", ". ", "/", "\n"]) + prose(1), 0))
-    return found
+    # fixed values: formats of well-known keys
+    keys = {
+        "aws": lambda: pick(["AKIA", "ASIA"]) + chars(upper + digits, 16), "github": lambda: pick(["ghp_", "gho_", "ghs_"]) + chars(base, 36),
+        "stripe": lambda: pick(["sk_live_", "rk_live_", "sk_test_"]) + chars(base, 24), "slack": lambda: pick(["xoxb-", "xoxp-"]) + chars(digits, 11) + "-" + chars(base, 24),
+        "google": lambda: "AIza" + chars(base + "_-", 35), "jwt": lambda: "eyJ" + chars(base + "_-", 30) + "." + chars(base + "_-", 40),
+        "base64": lambda: chars(base + "+/", pick([32, 40, 44, 64])),
+    }
+    hex_key = lambda: chars(pick([hexa, hexa.upper()]), pick([24, 32, 40, 40, 48, 64]))
+    password = lambda signs: chars(base + signs, pick([10, 12, 14, 16, 20]))
+    names = ["token", "api_key", "apikey", "secret", "password", "passwd", "access_token", "client_secret", "auth_token", "secret_key", "key", "API_KEY", "TOKEN", "PASSWORD"]
+    like = ["key", "cache_key", "primary_key", "sort_key", "token", "token_type", "auth", "secret_name", "key_id", "access", "api_key", "password", "KEY"]
+    lead = lambda: prose(int(draw.integers(1, 5))) + pick([" ", " ", "\n", ", ", ": "])
+    tail = lambda: pick([" " + prose(1), "\n" + prose(1), ". " + prose(1), ", " + prose(1), ") ", ""])
+
+    def assigned(name: str, value: str) -> tuple[str, str, str]:
+        quote, mark = pick(['"', "'", "", '"']), pick([" = ", "=", ": ", ":", " : "])
+        before = lead() + name + mark + quote if draw.random() < 0.9 else lead() + pick(["Authorization: Bearer ", "-H 'X-Auth: ", "export AWS_SECRET_ACCESS_KEY="])
+        return before, value, quote + pick([" ", "\n", "!!", "###", ", ", ""]) + prose(1)
+
+    def placeholder() -> str:
+        return pick([lambda: "your_" + word() + "_here", lambda: word() + word() + "_1", lambda: "x" * 20 + "1", lambda: "EXAMPLE" + word() + "1",
+                     lambda: "os.environ." + word().upper(), lambda: "REPLACE_" + word().upper() + "_ME", lambda: word().ljust(8, "s")])()
+
+    def identifier() -> str:
+        mark = pick(["_", "_", "-", ".", "/"])
+        name = mark.join(pick(made)[:int(draw.integers(2, 5))] for _ in range(3)) if draw.random() < 0.3 else snake(mark)  # abbreviations too
+        return name + pick(["", mark + chars(digits, int(draw.integers(1, 7)))])
+
+    def camel() -> str:
+        return "".join(word().capitalize() for _ in range(3)) + chars(digits, int(draw.integers(1, 5)))
+
+    plain = ["build ", "id=", "see ", "", "path = \"", "url: ", "name: ", "version = \"", "https://www." + pick(known) + ".com/", "/", "key ", "the token ", "href=\""]
+    sums = ["commit ", "sha256:", "sha1 ", "md5 = ", "hash: ", "checksum = \"", "etag: \"", "digest ", "revision ", "merge "]
+    uuid = lambda: "-".join(chars(hexa, k) for k in (8, 4, 4, 4, 12))
+    moment = lambda: "20" + chars(digits, 2) + "-01-" + chars(digits, 2) + "T" + chars(digits, 6) + "Z"
+    kinds: dict[str, tuple[int, object]] = {}
+    for kind, key in keys.items():
+        kinds[f"bare {kind}"] = (1, lambda key=key: (lead(), key(), tail()))
+        kinds[f"named {kind}"] = (1, lambda key=key: assigned(pick(names), key()))
+    url = lambda: lead() + pick(["postgres", "mysql", "https", "redis", "amqp", "mongodb"]) + "://" + pick(["admin", "root", "app", word()]) + ":"
+    kinds |= {
+        "named hex": (1, lambda: assigned(pick(names), hex_key())),
+        "named password": (1, lambda: assigned(pick(names), password("!@#$%^*"))),
+        "named letters and digits": (1, lambda: assigned(pick(names), password(""))),
+        "url password": (1, lambda: (url(), chars(base, pick([8, 10, 12, 14, 16, 20])), "@" + word() + pick([".com/", "/", ":5432/"]) + word())),
+        "key block": (1, lambda: (lead(), "-----BEGIN " + pick(["", "RSA ", "EC ", "OPENSSH "]) + "PRIVATE KEY-----", "\n" + chars(base, 10))),
+        "named identifier": (0, lambda: (lead() + pick(like) + pick([" = \"", ": ", "=", " = "]), identifier().ljust(8, "1"), pick(["\" ", " ", "\n"]))),
+        "named placeholder": (0, lambda: (lead() + pick(names) + pick([" = \"", ": ", "="]), placeholder(), "\" ")),
+        "named words": (0, lambda: (lead() + pick(like) + pick([": ", " = ", "="]), word().ljust(8, "e"), " " + prose(1))),
+        "url placeholder": (0, lambda: (url(), pick(["password", word(), "pass", "changeme", "port"]), "@" + word() + "/")),
+        "identifier": (0, lambda: (lead() + pick(plain), identifier().ljust(16, "1"), pick([" ", "\" ", ". ", "/", "\n"]) + prose(1))),
+        "path": (0, lambda: (lead() + pick(plain), snake("/", 3, 6) + "/v" + chars(digits, 1), pick([" ", "/", "?"]) + prose(1))),
+        "camel": (0, lambda: (lead() + pick(plain), camel(), tail())),
+        "number": (0, lambda: (lead() + pick(plain), word() + pick(["", "-", "_", "="]) + chars(digits, 12), tail())),
+        "uuid": (0, lambda: (lead() + pick([*plain, "uuid: ", "guid="]), uuid(), tail())),
+        "checksum": (0, lambda: (lead() + pick(sums), chars(hexa, pick([32, 40, 64])), tail())),
+        "bare hex": (0, lambda: (lead() + pick(["", "", "see "]), chars(hexa, pick([32, 40, 64])), tail())),
+        "repeat": (0, lambda: (lead() + pick(plain), pick(["x", "0", "a", "1"]) * int(draw.integers(16, 40)) + "a1", tail())),
+        "moment": (0, lambda: (lead() + pick([*plain, "at ", "time: "]), moment(), tail())),
+        "page": (0, lambda: (lead() + pick(plain), word() + "." + word() + "/" + word() + "?p=" + chars(digits, 3), tail())),
+    }
+    return kinds
+
+
+def labelled_findings(words: list[str], n: int = FINDINGS, seed: int = SEED, without: tuple[str, ...] = (), language: Language | None = None) -> list[tuple[str, str, str, int]]:
+    """(before, value, after, secret): half secrets and half what is mistaken for them, kinds in turn, but for the kinds ``without``."""
+    draw = np.random.default_rng(seed)
+    kinds = [k for name, k in findings_by_kind(words, language or Language(words), draw).items() if name not in without]
+    sides = [[make for secret, make in kinds if secret == side] for side in (0, 1)]
+    return [(*sides[i % 2][i // 2 % len(sides[i % 2])](), i % 2) for i in range(n)]
 
 
 class Scanner:
@@ -268,9 +362,9 @@ class Scanner:
 
 def fit(docs: DataFrame, findings: DataFrame | None = None) -> Scanner:
     """A scanner trained on ``findings`` (before, value, after, secret; at most `FINDINGS` of them), or on generated ones."""
-    words, pairs, firsts = corpus_statistics(docs)
+    words, pairs, firsts = corpus_statistics(docs, whole_below=LATIN)
     if findings is None:
-        return Scanner(words, labelled_findings(words), pairs, firsts)
+        return Scanner(words, labelled_findings(words, language=Language(words, pairs, firsts)), pairs, firsts)
     given = findings.select("before", "value", "after", F.col("secret").cast("int").alias("secret")).na.drop()
     return Scanner(words, [tuple(r) for r in given.orderBy(F.xxhash64("before", "value", "after")).limit(FINDINGS).collect()], pairs, firsts)
 

@@ -1,6 +1,9 @@
 import hashlib
 import random
+import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from giftledger.llm import secrets
 from pyspark.sql import functions as F
@@ -103,3 +106,81 @@ def test_values_inside_urls_are_candidates(scanner):
     assert (text.index(key), text.index(key) + len(key)) in secrets.candidates_inside(text, 5, len(text))
     found = scanner.find(text)  # long values with many separators end in time, without overlaps
     assert all(b <= c for (_, b, _), (c, _, _) in zip(found, found[1:]))
+
+
+CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def caught(scanner, make, n=60):
+    """Share of drawn findings of a kind whose value is called a secret."""
+    hits = 0
+    for _ in range(n):
+        before, value, after = make()
+        hits += any(a < len(before) + len(value) and b > len(before) for a, b, s in scanner.find(before + value + after) if s >= secrets.LEAST)
+    return hits / n
+
+
+def test_every_kind_by_new_draws(scanner):
+    words = prose(9, 3000).lower().split()
+    for kind, (secret, make) in secrets.findings_by_kind(words, scanner.language, np.random.default_rng(99)).items():
+        share = caught(scanner, make)
+        assert share >= (0.75 if kind == "named password" else 0.9) if secret else share <= 0.1, (kind, share)
+
+
+@pytest.mark.parametrize("kinds", [("bare aws", "named aws", "bare github", "url password"), ("named identifier", "camel", "checksum", "number")])
+def test_kinds_that_were_not_trained_on(kinds):
+    words = prose(9, 3000).lower().split()
+    trained = secrets.Scanner(words, secrets.labelled_findings(words, without=kinds))
+    makes = secrets.findings_by_kind(words, trained.language, np.random.default_rng(98))
+    for kind in kinds:
+        secret, make = makes[kind]
+        assert caught(trained, make) >= 0.9 if secret else caught(trained, make) <= 0.1, kind
+
+
+def test_names_do_not_decide_alone(scanner):
+    draw = random.Random(3)
+    for value in ("AKIA" + "".join(draw.choices(CHARS[:26] + CHARS[52:], k=16)), "ghp_" + "".join(draw.choices(CHARS, k=36))):
+        assert scanner.masked(f"we saw {value} there") == f"we saw {secrets.MASK} there"
+    word = "".join(draw.choices(CHARS, k=14))
+    assert scanner.masked(f"db postgres://admin:{word}@host/db up") == f"db postgres://admin:{secrets.MASK}@host/db up"
+    assert scanner.masked(f"url=postgres://admin:{word}@host/db") == f"url=postgres://admin:{secrets.MASK}@host/db"
+    for text in ("key: row_ab_cd_12 x", 'cache_key = "user_profile_123456" x', "password: understanding of it", f"commit {'0123456789abcdef' * 2}01234567 x"):
+        assert scanner.masked(text) == text
+
+
+def test_long_values_take_linear_time(scanner):
+    for piece in ("a", "aB", "Aa1", "a_", "/a", "://x:y@"):
+        text = "token = " + piece * 40_000
+        assert scanner.masked(text) is not None
+
+
+def test_scan_equals_a_plain_walk(spark):
+    """Counts by Counter, votes by walking each tree, over the whole table one text after the other."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    words = Counter(w for t in texts.values() for w in re.findall(r"(?<![^\W_])[^\W\d_]{2,24}(?![^\W_])", (t or "").lower()))
+    pairs, firsts = Counter(), Counter()
+    for word, n in words.items():
+        for pair in zip(word, word[1:]):
+            pairs[pair] += n
+            firsts[pair[0]] += n
+    got_words, got_pairs, got_firsts = secrets.corpus_statistics(docs, whole_below=secrets.LATIN)
+    assert got_words == sorted(words, key=lambda w: (-words[w], w)) and got_pairs == pairs and got_firsts == firsts
+    plain = secrets.Scanner(got_words, secrets.labelled_findings(got_words, language=secrets.Language(got_words, pairs, firsts)), pairs, firsts)
+
+    def vote(tree, row):
+        return tree if not isinstance(tree, tuple) else vote(tree[2] if row[tree[0]] <= tree[1] else tree[3], row)
+
+    got = {(r.doc_id, r.start, r.length): r.score for r in secrets.scan(docs).collect()}
+    assert got
+    for (doc, start, length), score in got.items():
+        text = texts[doc]
+        row = secrets.features(plain.language, text[max(0, start - secrets.BEFORE):start], text[start:start + length], text[start + length:start + length + secrets.AFTER])
+        assert score == pytest.approx(sum(vote(t, row) for t in plain.forest.trees) / secrets.TREES, abs=1e-12)
+
+
+def test_pairs_of_latin_letters_are_whole(spark):
+    docs = spark.createDataFrame([("ab " * 1000 + "xy \u0436\u0448",)], "text string")
+    _, some, _ = secrets.corpus_statistics(docs, most=10)
+    _, whole, _ = secrets.corpus_statistics(docs, most=10, whole_below=secrets.LATIN)
+    assert set(some) == {("a", "b")} and set(whole) == {("a", "b"), ("x", "y")}
