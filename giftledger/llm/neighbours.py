@@ -7,7 +7,8 @@ enough to hold `COVER` of its true neighbours there. Every vector is indexed.
 Inside a list vectors are rotated by one random orthogonal matrix and stored in blocks of `BLOCK` columns. After a
 rotation any d of D coordinates estimate the whole distance, so a candidate is abandoned after a block when the
 hypothesis that it is closer than the query's current k-th candidate is rejected: sqrt(D / d) * partial distance >
-(1 + EPSILON / sqrt(d)) * that distance. What rounding of the stored coordinates can add is allowed for, so that a
+(1 + EPSILON / sqrt(d)) * that distance. The k-th is tightened after each block, by the exact distances of the `FIRST`
+candidates that are nearest so far. What rounding of the stored coordinates can add is allowed for, so that a
 candidate as near as the k-th is not abandoned by it. Survivors get their Euclidean distance from the original vectors in
 double precision, and that is the score.
 
@@ -85,20 +86,22 @@ def scan(query: np.ndarray, turned: np.ndarray, originals: np.ndarray, blocks: l
     """The k nearest of a list part to one query: places and distances, nearest first, ties to the smaller id."""
     rows = np.flatnonzero(ids != own)
     exact = lambda at: np.sqrt(((originals[at] - query) ** 2).sum(axis=1))
-    first, rest = rows[:FIRST], rows[FIRST:]
-    scores = exact(first)
-    if len(rest):
+    dim, d, rest, first, scores = len(query), 0, rows, rows[:0], np.empty(0)
+    partial = np.zeros(len(rest))
+    for block in blocks:
+        piece = turned[d:d + block.shape[1]]
+        partial = partial + ((block[rest] - piece) ** 2).sum(axis=1)
+        d += len(piece)
+        near = np.zeros(len(rest), bool)
+        near[np.argpartition(partial, FIRST)[:FIRST] if len(rest) > FIRST else slice(None)] = True
+        first, scores = np.concatenate([first, rest[near]]), np.concatenate([scores, exact(rest[near])])
+        rest, partial = rest[~near], partial[~near]
         limit = np.partition(scores, k - 1)[k - 1] if len(scores) >= k else np.inf
-        dim, partial, d = len(query), np.zeros(len(rest)), 0
         rounding = ROUNDING * (2 * math.sqrt((query**2).sum()) + limit)  # what is within the limit is no longer than query + limit
-        for block in blocks:
-            piece = turned[d:d + block.shape[1]]
-            partial = partial + ((block[rest] - piece) ** 2).sum(axis=1)
-            d += len(piece)
-            slack = 1 + EPSILON / math.sqrt(d) if d < dim else 1
-            alive = np.sqrt(partial * (dim / d)) <= slack * limit + rounding * math.sqrt(dim / d)
-            rest, partial = rest[alive], partial[alive]
-        first, scores = np.concatenate([first, rest]), np.concatenate([scores, exact(rest)])
+        slack = 1 + EPSILON / math.sqrt(d) if d < dim else 1
+        alive = np.sqrt(partial * (dim / d)) <= slack * limit + rounding * math.sqrt(dim / d)
+        rest, partial = rest[alive], partial[alive]
+    first, scores = np.concatenate([first, rest]), np.concatenate([scores, exact(rest)])
     best = np.lexsort((ids[first], scores))[:k]
     return first[best], scores[best]
 

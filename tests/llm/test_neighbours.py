@@ -113,3 +113,30 @@ def test_ties_with_shuffled_rows(spark, monkeypatch):
     copies = sorted(i for i, v in vectors.items() if v is same)
     asked = [q for q in copies if q % 20 == 0]
     assert asked and all([i for _, i, _ in got[q]] == [i for i in copies if i != q][:10] for q in asked)
+
+
+class Counted(np.ndarray):
+    """Counts the coordinates that a scan picks."""
+
+    read = 0
+
+    def __getitem__(self, key):
+        out = np.asarray(self).__getitem__(key)
+        Counted.read += out.size
+        return out
+
+
+def test_candidates_far_away_are_abandoned_early():
+    """Twenty clusters: most rows are far from a query, and less than half of all coordinates are read."""
+    draw = np.random.default_rng(7)
+    centres = 2 * draw.normal(size=(20, 64))
+    vectors = centres[draw.integers(0, 20, 4000)] + draw.normal(size=(4000, 64))
+    turn, ids, right = np.linalg.qr(draw.normal(size=(64, 64)))[0], np.arange(4000), 0
+    turned = vectors @ turn
+    blocks = [np.ascontiguousarray(turned[:, d:d + 16]).view(Counted) for d in range(0, 64, 16)]
+    Counted.read = 0
+    for q in range(40):
+        places, _ = neighbours.scan(vectors[q], turned[q], vectors, blocks, ids, q, 10)
+        d = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        right += len(set(places) & set([i for i in np.argsort(d) if i != q][:10]))
+    assert right >= 0.97 * 400 and Counted.read < 0.5 * 40 * 4000 * 64
