@@ -6,7 +6,8 @@ window are looked up in a table of bits inside the row, windows whose bit is set
 broadcast set of benchmark hashes, and a hash that is found is verified word by word in the same join. Texts are never shuffled; a hit leaves the scan with the text's key.
 
 The set of benchmark windows is stored and counted first and broadcast up to `BROADCAST_GRAMS` windows (of 13 words, some
-200 bytes each); a larger benchmark is joined by shuffle.
+200 bytes each); a larger benchmark is joined by shuffle. A window carries no items, however many share it, but a key of
+the set of its items. Items are joined after the hits, once for each distinct collection of such sets that some text has.
 
 Defined results: a null, empty or word-less text has no words and is never contaminated; items without words have no
 window; items that repeat or share a window each count, an item with a null id hits words but is not listed; rows that
@@ -81,9 +82,30 @@ def item_windows(benchmark: DataFrame, n: int = WORDS) -> DataFrame:
     return items.select("item_id", "x.len", "x.words", "x.h").distinct()
 
 
-def hits(docs: DataFrame, windows: DataFrame, steps: Steps) -> DataFrame:
-    """key (of the text), n_hit, items (sorted ids) and spans (runs of hit words, as start and end) of each text with a verified hit."""
-    grams = steps.keep(windows.groupBy("h", "len", "words").agg(F.collect_set("item_id").alias("items")), "grams")
+def distinct_windows(windows: DataFrame) -> DataFrame:
+    """h, len, words and set_key of each distinct window; windows of the same items, and only those, have the same set_key.
+
+    The key is the number of items and two exclusive-ors of their hashes, so a window in every item is one small row.
+    """
+    listed = F.col("item_id").isNotNull()
+    mark = lambda salt: F.hex(F.coalesce(F.bit_xor(F.when(listed, F.xxhash64(F.lit(salt), "item_id"))), F.lit(0)))
+    set_key = F.concat_ws(":", F.count("item_id").cast("string"), mark("a"), mark("b"))
+    return windows.groupBy("h", "len", "words").agg(set_key.alias("set_key"))
+
+
+def items_of_sets(windows: DataFrame, grams: DataFrame) -> DataFrame:
+    """set_key and item_id, a row for each item of each set that has any; read off one window of the set."""
+    one = grams.groupBy("set_key").agg(F.min(F.struct("h", "words")).alias("w")).select("set_key", "w.*")
+    return windows.where("item_id IS NOT NULL").join(one, ["h", "words"]).select("set_key", "item_id")
+
+
+def hits(docs: DataFrame, windows: DataFrame, steps: Steps, items: str = "list") -> DataFrame:
+    """key (of the text), n_hit, spans (runs of hit words, as start and end) of each text with a verified hit, and its items.
+
+    ``items="list"`` gives items, the sorted ids; ``"digest"`` n_items and items_sha256 of that list, joined by commas;
+    ``"none"`` neither.
+    """
+    grams = steps.keep(distinct_windows(windows), "grams")
     size = grams.agg(F.count("*").alias("n"), F.collect_set("len").alias("lengths")).first()  # at most one length each up to n
     table = spot_table(grams)
     texts = docs.select(text_key(F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
@@ -91,12 +113,20 @@ def hits(docs: DataFrame, windows: DataFrame, steps: Steps) -> DataFrame:
     probed = texts.select("key", F.explode(cut).alias("x")).select("key", "x.*").alias("d")
     gram = (F.broadcast(grams) if size["n"] <= BROADCAST_GRAMS else grams).alias("b")
     true = probed.join(gram, (F.col("d.h") == F.col("b.h")) & (F.col("d.words") == F.col("b.words")))
-    true = steps.keep(true.select("d.key", "d.pos", "d.len", "b.items"), "true").distinct()
-    return true.groupBy("key").agg(
+    true = steps.keep(true.select("d.key", "d.pos", "d.len", "b.set_key"), "true").distinct()
+    found = true.groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("pos", "len"))).alias("at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    ).select("key", "items", _let(_merged(F.col("at")), lambda runs: F.struct(runs.alias("spans"), F.aggregate(
-        runs, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"))).alias("r")).select("key", "items", "r.*")
+        F.array_sort(F.collect_set("set_key")).alias("sets"),
+    ).select("key", "sets", _let(_merged(F.col("at")), lambda runs: F.struct(runs.alias("spans"), F.aggregate(
+        runs, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"))).alias("r")).select("key", "sets", "r.*")
+    if items == "none":
+        return found.drop("sets")
+    found = steps.keep(found.withColumn("all_sets", F.md5(F.array_join("sets", ","))), "found")
+    each = found.groupBy("all_sets").agg(F.first("sets").alias("sets")).select("all_sets", F.explode("sets").alias("set_key"))
+    listed = each.join(items_of_sets(windows, grams), "set_key").groupBy("all_sets").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    if items == "digest":
+        listed = listed.select("all_sets", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    return found.drop("sets").join(listed, "all_sets", "left").drop("all_sets")
 
 
 def _merged(at: Column) -> Column:
@@ -113,14 +143,14 @@ def _merged(at: Column) -> Column:
     return F.aggregate(at, empty, add)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, share: int = SHARE) -> DataFrame:
-    """doc_id, key, n_words, n_hit, items, spans and contaminated of each row.
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, share: int = SHARE, items: str = "list") -> DataFrame:
+    """doc_id, key, n_words, n_hit, spans and contaminated of each row, and its items as `hits` gives them.
 
-    A document is contaminated when at least one ``share``-th of its words is hit.
+    A document is contaminated when at least one ``share``-th of its words is hit. Rows without a hit have null items.
     """
     steps = Steps(docs.sparkSession, "decontaminate")
     windows = steps.keep(item_windows(benchmark, n), "windows")
-    found = steps.keep(hits(docs, windows, steps), "hits")
+    found = steps.keep(hits(docs, windows, steps, items), "hits")
     text = F.col("text").cast("string")
     counted = docs.select("doc_id", text_key(text).alias("key"),
                           F.coalesce(F.regexp_count(text, F.lit(RAW_TOKEN)), F.lit(0)).cast("long").alias("n_words"))
@@ -135,7 +165,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, share:
     document and cuts the words inside any hit; a document that loses words keeps the rest joined by single spaces.
     """
     steps = Steps(docs.sparkSession, "decontaminated")
-    report = contamination(docs, benchmark, n, share)
+    report = contamination(docs, benchmark, n, share, "none")
     rows = docs.select(F.struct("*").alias("row"), text_key(F.col("text")).alias("key"))
     if remove == "documents":
         bad = steps.keep(report.where("contaminated").select("key").distinct(), "bad")
@@ -150,10 +180,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = WORDS, share:
 
 
 def op6_decontaminate(spark, sf_dir):
-    report = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return report.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
-                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated")
+    report = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), items="digest")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return report.select("doc_id", "n_words", "n_hit", F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+                         F.coalesce("items_sha256", none).alias("items_sha256"), "contaminated")
 
 
 OP6_SQL = """

@@ -72,6 +72,25 @@ def test_removal(spark):
     assert cut.where("text = ''").count() >= 1
 
 
+def test_a_window_of_many_items_is_one_small_row(spark):
+    """Items share a window and some share their whole set; none is carried by the windows that are broadcast."""
+    shared, other = prose(5, 13), prose(6, 13)
+    items = [(i, f"{shared} {prose(100 + i, 12)}") for i in range(40)] + [(i, other) for i in range(100, 104)] + [(None, other), (None, prose(9, 13))]
+    docs = [(1, shared), (2, f"{shared} x {other}"), (3, other), (4, prose(9, 13)), (5, items[7][1]), (6, f"{other} y {shared}"), (7, "none")]
+    windows = decontaminate.item_windows(items_of(spark, items))
+    grams = decontaminate.distinct_windows(windows)
+    assert "item_id" not in grams.columns and "items" not in grams.columns
+    sets = {}
+    for r in windows.join(grams, ["h", "len", "words"]).collect():
+        sets.setdefault(r.set_key, {}).setdefault(tuple(r.words), set()).update([r.item_id] * (r.item_id is not None))
+    found = [s for of_window in sets.values() for s in map(frozenset, of_window.values())]
+    assert all(len(set(map(frozenset, w.values()))) == 1 for w in sets.values()) and len(set(found)) == len(sets)
+    frame = spark.createDataFrame([(d, t, "k", 1) for d, t in docs], "doc_id long, text string, key string, h int")
+    assert sorted(tuple(r) for r in report(frame, items_of(spark, items)).collect()) == brute(docs, items)
+    digest = decontaminate.contamination(frame, items_of(spark, items), items="digest").where("n_hit > 0")
+    assert sorted((str(r.doc_id), r.n_items) for r in digest.collect() if r.n_items) == [("1", 40), ("2", 44), ("3", 4), ("5", 40), ("6", 44)]
+
+
 def test_empty(spark):
     assert decontaminate.contamination(empty(spark), items_of(spark, ITEMS)).collect() == []
     assert decontaminate.decontaminated(empty(spark), items_of(spark, ITEMS)).collect() == []
