@@ -7,8 +7,9 @@ always include three, so the eight triples inside these halves find every link.
 bytes of a pair are tallied, pairs below five are dropped and the rest is verified on the bits.
 
 The index holds distinct fingerprints, so copies add nothing. A posting list is searched from fingerprint to
-fingerprint, and only a spanning forest of its links leaves the task, never all pairs. Long lists are split again by
-two more of their bytes, which any link inside them shares.
+fingerprint, and only a spanning forest of its links leaves the task, never all pairs. Lists longer than `LONG` are
+counted first and split before the shuffle by two more of their bytes, which any link inside them shares, so no task
+gets such a list whole.
 
 Defined results: a null, empty or blank text has fingerprint zero and links like any other; rows that repeat are each
 returned; null ids take part and are never the smallest id, so a component of null ids alone has a null id; an
@@ -30,6 +31,8 @@ from .graph import components
 
 SEED, BITS, SHARED, WORDS = 42, 3, 5, 3
 TRIPLES = (*combinations(range(4), 3), *combinations(range(4, 8), 3))
+#: Of the other five positions, two that any link inside a triple's list shares as well.
+PAIRS = [list(combinations([p for p in range(8) if p not in t], SHARED - 3)) for t in TRIPLES]
 #: Lists up to SMALL are compared pair by pair, lists above LONG are split by two more bytes first.
 SMALL, LONG = 6, 4096
 
@@ -88,22 +91,8 @@ def _forest(fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return links
 
 
-def _links_in(fps: np.ndarray, triple: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
-    if len(fps) <= LONG:
-        return _forest(fps)
-    links, octets = [], fps.view("u1").reshape(-1, 8).astype(np.uint32)
-    for i, j in combinations([p for p in range(8) if p not in triple], SHARED - WORDS):
-        key = octets[:, i] << 8 | octets[:, j]
-        order = np.argsort(key, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
-            if len(part) > 1:
-                links += _forest(fps[part])
-    return links
-
-
 def _search(batches):
     """Links inside the posting lists of a partition that is sorted by key; a list may go on in the next batch."""
-    keys, fps = np.empty(0, np.int64), np.empty(0, np.uint64)
 
     def found(keys, fps):
         ends = np.flatnonzero(np.diff(keys)) + 1
@@ -120,32 +109,56 @@ def _search(batches):
             b.append(y[near])
         starts = np.concatenate([[0], ends])
         for k in np.flatnonzero(sizes > SMALL):
-            for x, y in _links_in(fps[starts[k]:starts[k] + sizes[k]], TRIPLES[keys[starts[k]] >> 24]):
+            for x, y in _forest(fps[starts[k]:starts[k] + sizes[k]]):
                 a.append(x)
                 b.append(y)
         a, b = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    for batch in batches:
-        keys = np.concatenate([keys, batch.column(0).to_numpy()])
-        fps = np.concatenate([fps, batch.column(1).to_numpy().view(np.uint64)])
-        whole = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
-        if whole:
-            yield found(keys[:whole], fps[:whole])
-            keys, fps = keys[whole:], fps[whole:]
-    if len(keys):
-        yield found(keys, fps)
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # the list that goes on, in pieces
 
+    def whole():
+        return found(*(np.concatenate(column) for column in zip(*held)))
 
-def links(fps: DataFrame) -> DataFrame:
+    for batch in batches:
+        keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+        if not len(keys):
+            continue
+        last = int(np.searchsorted(keys, keys[-1]))
+        if held and (last or keys[0] != held[-1][0][-1]):
+            held.append((keys[:last], fps[:last]))
+            yield whole()
+            held = []
+        elif last:
+            yield found(keys[:last], fps[:last])
+        held.append((keys[last:], fps[last:]))
+    if held:
+        yield whole()
+
+
+def links(fps: DataFrame, steps: Steps) -> DataFrame:
     """Links (a, b) that connect all distinct values of ``fp`` with at most `BITS` differing bits."""
 
-    def key(slot: int, triple: tuple[int, ...]):
-        octet = [F.shiftrightunsigned("fp", 8 * p).bitwiseAND(255) for p in triple]
-        return F.lit(slot << 24) + F.shiftleft(octet[0], 16) + F.shiftleft(octet[1], 8) + octet[2]
+    def octets(positions: tuple[int, ...], high: int):
+        """The number ``high`` followed by the bytes at the positions."""
+        value = F.lit(high).cast("long")
+        for p in positions:
+            value = F.shiftleft(value, 8) + F.shiftrightunsigned("fp", 8 * p).bitwiseAND(255)
+        return value
+
+    def finer(slot: int):  # numbered behind the slots, so keys of split lists differ from all others
+        return F.array(*[octets(TRIPLES[slot] + pair, len(TRIPLES) + slot * len(PAIRS[slot]) + i) for i, pair in enumerate(PAIRS[slot])])
 
-    postings = fps.select(F.explode(F.array(*[key(s, t) for s, t in enumerate(TRIPLES)])).alias("key"), "fp")
-    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(_search, "a long, b long")
+    keys = F.array(*[octets(t, s) for s, t in enumerate(TRIPLES)])
+    postings = fps.select(F.posexplode(keys).alias("slot", "key"), "fp")
+    long_ = steps.keep(postings.groupBy("key").count().where(F.col("count") > LONG).select("key"), "long-lists")
+    n = long_.count()
+    if n:
+        marks = long_.withColumn("split", F.lit(True))
+        marked = postings.join(F.broadcast(marks) if n <= BROADCAST_KEYS else marks, "key", "left")
+        split = F.element_at(F.array(*[finer(s) for s in range(len(TRIPLES))]), F.col("slot") + 1)
+        postings = marked.select(F.explode(F.when(F.col("split"), split).otherwise(F.array("key"))).alias("key"), "fp")
+    return postings.select("key", "fp").repartition("key").sortWithinPartitions("key").mapInArrow(_search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -153,7 +166,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     steps = Steps(docs.sparkSession, "simhash")
     fps = steps.keep(fingerprints(docs), "fps")
     classes = steps.keep(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = components(steps, links(classes.select("fp")))
+    roots = components(steps, links(classes.select("fp"), steps))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = steps.keep(rooted.select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
     smallest = steps.keep(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")

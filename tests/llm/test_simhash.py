@@ -94,6 +94,26 @@ def test_links_connect_what_brute_force_connects(spark, small, long, monkeypatch
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+@pytest.mark.parametrize("most", [simhash.BROADCAST_KEYS, 0])
+def test_long_lists_are_split_before_the_shuffle(spark, most, monkeypatch):
+    """Fingerprints that share three bytes and are mostly not linked: no list above LONG is left where bytes differ."""
+    monkeypatch.setattr(simhash, "LONG", 20)
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", most)
+    draw = random.Random(11)
+    fps = {0xABCDEF | draw.getrandbits(40) << 24 for _ in range(400)}
+    for f in list(fps)[:80]:
+        fps.add(f ^ sum(1 << b for b in draw.sample(range(64), draw.randint(1, 3))))
+    signed = [f - 2**64 if f >> 63 else f for f in fps]
+    found = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), Steps(spark, "test"))
+    pairs = [(r.a, r.b) for r in found.collect()]
+    assert all(bin((a ^ b) % 2**64).count("1") <= 3 for a, b in pairs)
+    reached = {r.node: r.root for r in components(Steps(spark, "test"), found).collect()}
+    for i, a in enumerate(signed):
+        for b in signed[i + 1:]:
+            if bin((a ^ b) % 2**64).count("1") <= 3:
+                assert reached[a] == reached[b]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7), (5, 4)]
     found = components(Steps(spark, "test"), spark.createDataFrame(chain, "a long, b long")).collect()
