@@ -34,6 +34,8 @@ SCALE, BIN = 4096, 1000
 #: Weight of the raw score in the final one; it only orders documents inside one step of the calibration.
 TIE = 1e-3
 N_STATISTICS = 24
+#: Tasks that sum the normal equations at most; each sends FEATURES + 2 rows of as many numbers for each fold, 1 MB.
+SUM_TASKS = 4096
 
 
 def statistics(text: str | None) -> list[float]:
@@ -125,6 +127,13 @@ def _add(frame):
     return frame.iloc[:1].assign(v=[total])
 
 
+def _added(partial: DataFrame, tasks: int) -> DataFrame:
+    """The sum of the rows of each fold and feature, by way of sums of about the square root of ``tasks`` rows each."""
+    kind = "part int, fold int, i int, v array<long>"
+    first = partial.withColumn("part", F.floor(F.spark_partition_id() / math.ceil(math.sqrt(tasks))).cast("int"))
+    return first.groupBy("part", "fold", "i").applyInPandas(_add, kind).groupBy("fold", "i").applyInPandas(_add, kind)
+
+
 def _solve(total: np.ndarray) -> np.ndarray:
     a, b = total[:-1, :-1] / SCALE**2, total[:-1, -1] / SCALE
     return np.linalg.solve(a + RIDGE * np.eye(len(a)), b)
@@ -157,8 +166,8 @@ def fit(stats: DataFrame, labels: DataFrame, label: str, steps: Steps) -> Model:
         model.steps = ([0.0], [share])
         model.weights[-1] = share
         return model
-    partial = train.mapInArrow(_sums(model), "fold int, i int, v array<long>")
-    rows = partial.groupBy("fold", "i").applyInPandas(_add, "fold int, i int, v array<long>").collect()
+    partial = train.coalesce(SUM_TASKS).mapInArrow(_sums(model), "fold int, i int, v array<long>")
+    rows = _added(partial, SUM_TASKS).collect()  # two folds of FEATURES + 2 rows
     totals = np.zeros((2, FEATURES + 2, FEATURES + 2), np.int64)
     for r in rows:
         totals[r["fold"], r["i"]] = r["v"]

@@ -154,3 +154,12 @@ def test_no_pairs_are_found_in_noise():
     assert np.allclose(sample.together(residual, u), matrix @ u)
     assert toxicity.directions(sample, residual)[0][0] == pytest.approx(np.linalg.eigvalsh(matrix)[-1], rel=0.02)
     assert len(toxicity.pairs(sample, residual)[0]) == 0
+
+
+def test_sums_of_many_tasks_are_added_in_two_steps(spark):
+    """Rows of 30 tasks in parts of four tasks, against one sum."""
+    draw = np.random.default_rng(4)
+    rows = [(f, i, draw.integers(-10**9, 10**9, 3).tolist()) for _ in range(30) for f in (0, 1) for i in (0, 1, 2)]
+    partial = spark.createDataFrame(rows, "fold int, i int, v array<long>").repartition(30)
+    found = {(r.fold, r.i): r.v for r in quality._added(partial, 16).collect()}
+    assert found == {(f, i): np.sum([v for a, b, v in rows if (a, b) == (f, i)], axis=0).tolist() for f in (0, 1) for i in (0, 1, 2)}
