@@ -1,10 +1,17 @@
+import datetime
+import hashlib
+import random
 import re
 
+import pytest
 from giftledger.llm import pseudonyms as P
 from pyspark.sql import functions as F
 from tests.llm.samples import empty, messy, rows
 
 
+KEY = "a key of the tests"
+
+
 def luhn(digits):
     return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10 == 0
 
@@ -13,7 +20,7 @@ def test_values_keep_their_format_and_stay_linked(spark):
     values = ["4465758382889437", "4465-7583-8288-9437", "+1 (523) 555-1055", "217.94.102.185", "123-45-6789", "1999-02-28"]
     bad = ["4465758382889438", "999.1.1.1", "666-12-3456", "2001-02-30", "12345678"]
     texts = [f"a {v}, b {v}" for v in values + bad] + [None, "", "x"]
-    got = [r.text for r in P.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()]
+    got = [r.text for r in P.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), KEY).collect()]
     for value, text in zip(values, got):
         one, two = re.fullmatch(r"a (.*), b (.*)", text).groups()
         assert one == two != value and re.sub(r"\d", "9", re.sub(r"\d+", "9", one)) == re.sub(r"\d+", "9", value)
@@ -24,21 +31,21 @@ def test_values_keep_their_format_and_stay_linked(spark):
 
 def test_dates_are_permuted(spark):
     days = spark.sql("SELECT date_format(date_add(DATE'1800-01-01', CAST(id AS int)), 'yyyy-MM-dd') AS d FROM range(146097)")
-    new = days.select(P.pseudonym(F.col("d")).alias("p"))
+    new = days.select(P.pseudonym(F.col("d"), KEY).alias("p"))
     assert tuple(new.agg(F.count("p"), F.count_distinct("p"), F.min("p"), F.max("p")).first()) == (146097, 146097, "1800-01-01", "2199-12-31")
 
 
 def test_messy_rows_and_empty(spark):
-    out = P.masked_documents(messy(spark))
+    out = P.masked_documents(messy(spark), KEY)
     assert out.columns == messy(spark).columns
     assert sorted(str(r.text) for r in out.collect()) == sorted(str(r[1]) for r in rows())
-    assert P.masked_documents(empty(spark)).collect() == []
+    assert P.masked_documents(empty(spark), KEY).collect() == []
 
 
 def test_every_number_of_the_format_is_permuted(spark):
     """Low areas and exchanges too; each class in itself, none left as it is."""
     numbers = [f"+1 ({a:03d}) {b:03d}-{n:04d}" for a in range(0, 1000, 37) for b in range(0, 1000, 41) for n in (0, 7713)]
-    got = [r.p for r in spark.createDataFrame([(n,) for n in numbers], "m string").coalesce(1).select(P.pseudonym(F.col("m")).alias("p")).collect()]
+    got = [r.p for r in spark.createDataFrame([(n,) for n in numbers], "m string").coalesce(1).select(P.pseudonym(F.col("m"), KEY).alias("p")).collect()]
     kind = lambda v: (int(v[4:7]) < 200, int(v[4:7]) >= 200 and int(v[9:12]) < 200)
     assert all(re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", p) and p != n and kind(p) == kind(n) for n, p in zip(numbers, got))
     assert len(set(got)) == len(numbers)
@@ -47,7 +54,7 @@ def test_every_number_of_the_format_is_permuted(spark):
 def test_cards_beside_other_digits_and_dates_in_timestamps(spark):
     card = "4111 1111 1111 1111"
     texts = [f"a {card} 123 b", "4111111111111111 12/25", f"12 {card} x", f"{card}-7", "at 2024-01-05T12:00:00Z", "x 2024-01-05Tea"]
-    new, again = ([r.text for r in P.pseudonymised(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").coalesce(1)).collect()] for t in (texts, [card, "2024-01-05"]))
+    new, again = ([r.text for r in P.pseudonymised(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").coalesce(1), KEY).collect()] for t in (texts, [card, "2024-01-05"]))
     assert luhn(again[0].replace(" ", "")) and again[0] != card
     bare = again[0].replace(" ", "")
     assert new == [f"a {again[0]} 123 b", f"{bare} 12/25", f"12 {again[0]} x", f"{again[0]}-7", f"at {again[1]}T12:00:00Z", texts[-1]]
@@ -55,7 +62,7 @@ def test_cards_beside_other_digits_and_dates_in_timestamps(spark):
 
 def test_no_value_is_left_in_clear_on_the_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    pairs = P.pseudonymised(docs).select(F.col("row.text").alias("old"), "text").collect()
+    pairs = P.pseudonymised(docs, KEY).select(F.col("row.text").alias("old"), "text").collect()
     phone, ip, ssn = r"\+1 \(\d{3}\) \d{3}-\d{4}(?!\d)", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", r"(?<![\w-])[0-8]\d\d-\d\d-\d{4}(?![\w-])"
     seen = left = 0
     for old, new in pairs:
@@ -68,3 +75,77 @@ def test_no_value_is_left_in_clear_on_the_whole_table(spark):
         cards = [(a, b) for a, b in zip(*digits) if luhn(re.sub(r"\D", "", a))]
         seen, left = seen + len(cards), left + sum(a == b for a, b in cards)
     assert seen > 159 and left == 0
+
+
+def rounds(a, b, most_a, most_b, kind, key, back=False):
+    """The Feistel rounds in plain Python, or their inverse."""
+    turns = range(10)
+    for turn in reversed(turns) if back else turns:
+        most, other = (most_a, b) if turn % 2 == 0 else (most_b, a)
+        keyed = int(hashlib.md5(f"{key}:{kind}:{turn}:{most}:{other}".encode()).hexdigest()[:15], 16)
+        if turn % 2 == 0:
+            a = (a - keyed if back else a + keyed) % most
+        else:
+            b = (b - keyed if back else b + keyed) % most
+    return a, b
+
+
+def plain(value, key):
+    """The pseudonym of one valid value, from the rules alone."""
+    digits = re.sub(r"\D", "", value)
+    if re.fullmatch(r"\d{4}-\d\d-\d\d", value):
+        first = datetime.date(1800, 1, 1)
+        a, b = rounds(*divmod((datetime.date.fromisoformat(value) - first).days, 773), 189, 773, "date", key)
+        return str(first + datetime.timedelta(a * 773 + b))
+    if value.startswith("+1"):
+        area, exchange, line = int(digits[1:4]), int(digits[4:7]), int(digits[7:])
+        low = area < 200
+        from_a, from_b = 0 if low else 200, 0 if low or exchange < 200 else 200
+        most_b = 10**7 if low else (200 if exchange < 200 else 800) * 10**4
+        a, b = rounds(area - from_a, (exchange - from_b) * 10**4 + line, 200 if low else 800, most_b, "phone", key)
+        return f"+1 ({a + from_a:03d}) {b // 10**4 + from_b:03d}-{b % 10**4:04d}"
+    if re.fullmatch(r"\d{3}-\d\d-\d{4}", value):
+        area, group, serial = map(int, value.split("-"))
+        a, b = rounds(area - (2 if area > 666 else 1), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, "ssn", key)
+        return f"{a + (2 if a >= 665 else 1):03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}"
+    if "." in value:
+        o = list(map(int, value.split(".")))
+        a, b = rounds(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, "ip", key)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+    left = (len(digits) - 1) // 2
+    right = len(digits) - 1 - left
+    a, b = rounds(int(digits[:left]), int(digits[left:-1]), 10**left, 10**right, "card", key)
+    body = f"{a:0{left}d}{b:0{right}d}"
+    new = iter(next(body + c for c in "0123456789" if luhn(body + c)))
+    return "".join(next(new) if c.isdigit() else c for c in value)
+
+
+def drawn(draw):
+    body = "".join(draw.choice("0123456789") for _ in range(draw.randint(12, 18)))
+    card = next(body + c for c in "0123456789" if luhn(body + c))
+    return [card, " ".join(card[i:i + 4] for i in range(0, len(card), 4)), "-".join(card[i:i + 5] for i in range(0, len(card), 5)),
+            str(datetime.date(1800, 1, 1) + datetime.timedelta(draw.randrange(146_097))),
+            f"+1 ({draw.randrange(1000):03d}) {draw.randrange(1000):03d}-{draw.randrange(10**4):04d}",
+            f"{draw.choice([*range(1, 666), *range(667, 899)]):03d}-{draw.randint(1, 99):02d}-{draw.randint(1, 9999):04d}",
+            ".".join(str(draw.randrange(256)) for _ in range(4))]
+
+
+@pytest.mark.parametrize("key", [KEY, P.TEST_KEY])
+def test_the_rounds_are_those_of_plain_python(spark, key):
+    draw = random.Random(8)
+    values = [v for _ in range(60) for v in drawn(draw)]
+    found = spark.createDataFrame([(v,) for v in values], "v string").coalesce(1).select("v", P.pseudonym(F.col("v"), key).alias("p")).collect()
+    assert [(r.v, r.p) for r in found] == [(v, plain(v, key)) for v in values]
+
+
+def test_the_rounds_can_be_inverted_with_the_key(spark):
+    draw = random.Random(9)
+    pairs = [(draw.randrange(898), draw.randrange(99 * 9999)) for _ in range(50)]
+    frame = spark.createDataFrame(pairs, "a long, b long").coalesce(1)
+    moved = frame.select(P.feistel(F.col("a"), F.col("b"), F.lit(898), F.lit(99 * 9999), "ssn", KEY).alias("r")).select("r.*").collect()
+    assert [rounds(r.a, r.b, 898, 99 * 9999, "ssn", KEY, back=True) for r in moved] == pairs
+
+
+def test_a_key_has_to_be_given(spark):
+    with pytest.raises(TypeError):
+        P.masked_documents(empty(spark))
