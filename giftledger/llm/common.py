@@ -6,8 +6,6 @@ joined back by that key, so repeated rows, repeated ids and null ids all keep th
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +43,7 @@ class Steps:
     """Intermediate tables of one run of an operator, in the folder the cluster shares.
 
     Each step is computed once and read back by column, so a lost executor costs a task and never the steps before.
-    `keep` also lets Spark drop the shuffle files of the finished step: it does so when the driver collects its
-    garbage, which an idle driver may not do for a long time.
+    Spark drops the shuffle files of finished steps at its own time, `spark.cleaner.periodicGC.interval`.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -55,10 +52,7 @@ class Steps:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.option("compression", "zstd").parquet(path)
-        kept = self.spark.read.schema(df.schema).parquet(path)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-        return kept
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Delete tables that no later step reads."""
