@@ -4,14 +4,16 @@ A byte goes when a string of `WINDOW` bytes that covers it also starts anywhere
 buckets by their first q = 32 bytes. Only the anchor of each window (see `anchors`) is bucketed over the cluster; a
 bucket of one is settled, its windows occur once. What the windows of one anchor cover together is its span; a span
 that occurs twice settles all its windows as repeated. What remains are buckets with different spans, where a
-repeat begins or ends. They are refined in tasks: bucket identifiers of 32, 64, 128 and at last 200 bytes, each made from
-the identifiers of the step before at a position and at a later offset, with windows sorted by identifier and those left
-alone in a bucket dropped at each step. A refined bucket of 200 bytes with two windows is a repeat.
+repeat begins or ends. They are refined in tasks: every position has a pointer to its bucket of equal 32 bytes. Positions of
+shared buckets are sorted by their own pointer and the pointer at a later offset, which splits the buckets at 64, 128
+and at last 200 bytes; the new pointers take the place of the old and serve the next pass at its later offsets.
+Positions left alone in a bucket keep it and are sorted no more. A window in a shared bucket of 200 bytes is a repeat.
 
 A bucket with more than `MOST` different spans is not refined in one task: its windows are counted by identifier in a
 partial aggregate, which gives the same result. Copies meet in counts only and are never listed or paired.
 
-Identifiers have 64 bits and are compared inside one initial bucket (another 64 bits), so strings are told apart by 128.
+Identifiers of spans, counted windows and initial strings have 64 bits; the first two are compared inside one initial bucket
+only, and refined buckets differ as soon as one of their parts of 32 bytes does.
 
 Defined results: a null text is an empty one; texts below 200 bytes lose nothing; rows that repeat an id or a text
 are documents of their own, so an exact copy of 200 bytes or more loses all its bytes, in every copy; an empty table
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchored, by_group, byte_ids, joined, merged, mix, numbered, positions, runs, span_keys
+from .anchors import anchored, by_group, byte_ids, joined, merged, numbered, positions, runs, span_keys
 from .common import Steps, read
 
 WINDOW, Q, MOST = 200, 32, 20_000
@@ -77,26 +79,43 @@ def _windows(table: pa.Table):
     return data, sizes, at, np.repeat(np.arange(len(sizes)), sizes)
 
 
+def refined_buckets(pointers: np.ndarray, ends: np.ndarray, length: int, wanted: int) -> np.ndarray:
+    """Positions that share a bucket of ``wanted`` units, by bucket-pointer refinement; ``pointers`` is changed.
+
+    ``pointers`` names the bucket of equal strings of ``length`` at each position, by whole numbers below its size;
+    strings do not go beyond ``ends``. A pass refines the positions whose longer string fits. The pointer at the later
+    offset is then of the pass before or of a bucket of one, so equal pointers stand for equal strings.
+    """
+    fresh = len(pointers)
+    sizes = np.bincount(pointers, minlength=1)
+    alive = np.flatnonzero((sizes[pointers] > 1) & (np.arange(len(pointers)) + length <= ends))
+    while length < wanted and len(alive):
+        step = min(length, wanted - length)
+        length += step
+        alive = alive[alive + length <= ends[alive]]
+        own, later = pointers[alive], pointers[alive + step]
+        order = np.lexsort((later, own))
+        own, later, alive = own[order], later[order], alive[order]
+        new = np.ones(len(alive), bool)
+        new[1:] = (np.diff(own) != 0) | (np.diff(later) != 0)
+        bucket = np.cumsum(new) - 1
+        pointers[alive] = fresh + bucket
+        fresh += int(new.sum())
+        alive = alive[np.bincount(bucket, minlength=1)[bucket] > 1]
+    return alive
+
+
 def _refine(table: pa.Table):
     """Runs of repeated windows in the contexts of whole buckets that are not settled."""
     data, sizes, at, item = _windows(table)
-    bucket = mix(table.column("seed").to_numpy().view(np.uint64))[item]
-    ids, length, alive = byte_ids(data, Q), Q, np.arange(len(at))
-    while True:
-        finer = mix(bucket[alive] ^ ids[at[alive]])
-        order = np.argsort(finer, kind="stable")
-        same = np.diff(finer[order]) == 0
-        shared = np.zeros(len(order), bool)
-        shared[order[1:][same]] = True
-        shared[order[:-1][same]] = True
-        alive = alive[shared]
-        if length == WINDOW or not len(alive):
-            break
-        step = min(length, WINDOW - length)
-        ids, length = joined(ids, step), length + step
-    marks = np.zeros(len(at), bool)
-    marks[alive] = True
-    marks &= (table.column("copies").to_numpy() == 1)[item]
+    if not len(at):
+        return
+    covered = sizes + WINDOW - 1
+    ends = np.repeat(np.cumsum(covered), covered)[:len(data) - Q + 1]
+    pointers = np.unique(byte_ids(data, Q), return_inverse=True)[1]
+    repeats = np.zeros(len(data), bool)
+    repeats[refined_buckets(pointers, ends, Q, WINDOW)] = True  # only positions of windows have 200 bytes before the end
+    marks = repeats[at] & (table.column("copies").to_numpy() == 1)[item]
     piece, start, n = runs(marks, sizes)
     rows, starts = table.column("row").to_numpy()[piece], table.column("start").to_numpy()[piece] + start
     yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(starts.astype(np.int32)), pa.array(n.astype(np.int32))], ["row", "start", "n"])

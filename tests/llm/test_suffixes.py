@@ -2,8 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
-from giftledger.llm import suffixes
+from giftledger.llm import anchors, suffixes
 from tests.llm.samples import DOCS, empty, messy, prose, rows
 
 
@@ -53,6 +54,36 @@ def test_passages_that_begin_and_end_anywhere(spark, most):
     compare(suffixes.dedup(frame(spark, pairs), most), pairs)
 
 
+@pytest.mark.parametrize("alphabet, size", [("ab", 900), ("a", 700), ("abcd", 3000)])
+def test_refined_buckets_are_those_of_equal_strings(alphabet, size):
+    """Pointers of 4 bytes refined to 25, in pieces that no string crosses, against a count of strings."""
+    draw = random.Random(size)
+    block = "".join(draw.choice(alphabet) for _ in range(60))
+    text = "".join(draw.choice([block, block[:40], draw.choice(alphabet)]) for _ in range(size // 20))
+    cuts = sorted({0, len(text), *(draw.randrange(len(text)) for _ in range(12))})
+    ends = np.concatenate([np.full(b - a, b) for a, b in zip(cuts, cuts[1:])])
+    grams = [text[i:i + 4] for i in range(len(text) - 3)]
+    pointers = np.unique(grams, return_inverse=True)[1]
+    found = suffixes.refined_buckets(pointers, ends[:len(grams)], 4, 25)
+    whole = {i: text[i:i + 25] for i in range(len(grams)) if i + 25 <= ends[i]}
+    each = Counter(whole.values())
+    assert sorted(found.tolist()) == [i for i, w in whole.items() if each[w] > 1]
+    by_pointer = {}
+    for i in found.tolist():
+        by_pointer.setdefault(int(pointers[i]), set()).add(whole[i])
+    assert all(len(w) == 1 for w in by_pointer.values()) and len(by_pointer) == sum(n > 1 for n in each.values())
+
+
+def test_a_text_longer_than_a_segment(spark):
+    """A repeat that lies across the end of a segment of anchors, in one document of more than `SEGMENT` bytes."""
+    draw = np.random.default_rng(3)
+    text = draw.integers(97, 123, anchors.SEGMENT + 5000, dtype=np.uint8).tobytes().decode()
+    passage = text[anchors.SEGMENT - 300:anchors.SEGMENT + 300]
+    (one, two) = sorted(suffixes.dedup(frame(spark, [(1, text), (2, f"x{passage}y")])).collect(), key=lambda r: r.doc_id)
+    assert (one.n_bytes, one.n_removed, one.n_spans) == (len(text), 600, 1) and bytes(one.kept).decode() == text.replace(passage, "")
+    assert (two.n_removed, two.n_spans, bytes(two.kept)) == (600, 1, b"xy")
+
+
 def test_kept_bytes_are_returned(spark):
     shared = prose(2, 100)
     pairs = [(1, "a" + shared + "b"), (2, "c" + shared + "d"), (3, None)]
