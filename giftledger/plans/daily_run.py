@@ -14,7 +14,7 @@ from ..operators.identity import resolve_identity, unresolved_rows
 from ..operators.mart import ScoreRules, build_mart
 from ..operators.staging import add_load_date, build_staging, keep_unknown_columns, unknown_columns
 from ..operators.upsert import UpsertResult, upsert_table
-from ..schemas import DIM_DONORS, LOAD_DATE, MART, RAW, RAW_STORED, STAGING, UNRESOLVED
+from ..schemas import DIM_DONORS, LOAD_DATE, MART, RAW, RAW_STORED, RECORD_ID, STAGING, UNRESOLVED
 from ..sources import tables as tb
 from ..sources import versions as V
 from ..sources.delimited import good_rows, read_headerless, read_identity_fixture, read_with_header, require_well_formed
@@ -102,7 +102,7 @@ def ingest_raw(spark: SparkSession, source: DataFrame, execution_date: date, tab
     """
     tb.ensure_table(spark, table, RAW_STORED)
     kept = keep_unknown_columns(add_load_date(source, execution_date))
-    rows = tb.overwrite_partition(kept, table, execution_date, unknown_columns(source))
+    rows = tb.overwrite_partition(kept, table, execution_date, unknown_columns(source), by=RECORD_ID)
     stored = tb.partition_row_count(tb.read_table(spark, table, RAW), execution_date).first()["row_count"]
     result = Reconciled(rows, stored)
     if not result.matches:
@@ -140,7 +140,7 @@ def run_identity(
         # The review table mirrors the flagged rows of the dimension, for every load date the upsert concerned.
         touched = tb.read_table(spark, dim_table, DIM_DONORS).where(F.col(LOAD_DATE).isin(*result.load_dates))
         flagged = unresolved_rows(touched)
-        tb.replace_partitions(flagged, unresolved_table, emptied=result.load_dates)
+        tb.replace_partitions(flagged, unresolved_table, result.load_dates, dates=len(result.load_dates), by="sub_id")
     return result
 
 

@@ -6,6 +6,7 @@ from giftledger.operators import quality as Q
 from giftledger.operators import upsert as U
 from giftledger.schemas import LOAD_DATE, STAGING
 from giftledger.sources import tables as tb
+from pyspark.sql import functions as F
 
 D1, D2, D3 = date(2025, 1, 1), date(2025, 1, 2), date(2025, 1, 3)
 
@@ -126,3 +127,27 @@ def test_fallback_key_without_record_ids(spark):
     assert sorted(map(tuple, merged.collect())) == [
         ("k", D1, 1, None, None), ("m", D1, 5, "C5", "s1"), ("n", D1, 5, "C2", None), ("z", D1, 5, "C1", None)
     ]
+
+
+def test_one_large_date_is_written_in_several_files_and_small_ones_in_one(spark, tmp_path):
+    """Few dates must not leave writers and later readers with one or two tasks; small tables still get few files."""
+    path = str(tmp_path / "t")
+    tb.ensure_table(spark, path, STAGING)
+    one = staged(spark, ("a", "x", D1))
+    many = spark.range(150_000).select(F.col("id").cast("string").alias("sub_id"), F.sha2(F.col("id").cast("string"), 256).alias("name_raw"))
+    large = one.drop("sub_id", "name_raw").crossJoin(many).select(*STAGING.fieldNames())
+    U.upsert_table(spark, path, STAGING, large)
+    assert len(tb.read_partition(spark, path, STAGING, D1).inputFiles()) > 1
+    U.upsert_table(spark, path, STAGING, staged(spark, *[(f"s{i}", "x", D2) for i in range(50)]))
+    assert len(tb.read_partition(spark, path, STAGING, D2).inputFiles()) == 1
+    assert tb.read_table(spark, path, STAGING).count() == 150_050
+
+
+def test_withdrawn_moved_and_kept_rows_of_one_batch(spark, tmp_path):
+    """Kept rows of other dates lose exactly the batch's keys, found without a second comparison with the index."""
+    path = str(tmp_path / "t")
+    tb.ensure_table(spark, path, STAGING)
+    U.upsert_table(spark, path, STAGING, staged(spark, ("a", "x", D1), ("b", "x", D1), ("c", "x", D2), ("d", "x", D2)))
+    done = U.upsert_table(spark, path, STAGING, staged(spark, ("b", "y", D2), ("d", "x", D2)), day=D2)
+    assert stored(spark, path) == [("a", "x", D1), ("b", "y", D2), ("d", "x", D2)]
+    assert (done.updated, done.deleted, done.unchanged) == (1, 1, 1)
