@@ -106,3 +106,34 @@ def test_strict_cast_stops_the_job(spark, one_value, ansi):
 def test_percent_of_nothing_is_zero(spark):
     df = spark.createDataFrame([(1, 3), (0, 0)], "a bigint, b bigint")
     assert [r[0] for r in df.select(G.percent("a", "b")).collect()] == [33.33, 0.0]
+
+
+def test_translated_text_equals_the_expressions(one_value):
+    """ASCII text is translated character by character; results are those of the regular expressions alone."""
+    from giftledger.functions import text as T
+
+    signs = [f"a{chr(c)}b {chr(c)}{chr(c)} {chr(c)}1" for c in range(0x250)]
+    values = [*signs, "", "   ", "a - - b", "x street  street lane", "K st", "　a  b", "0٣٥ 12", None]
+
+    def words(kept, gaps):
+        def of(column):
+            low = F.lower(F.coalesce(column, F.lit("")))
+            return F.trim(F.regexp_replace(F.regexp_replace(low, f"[^{kept}{gaps}]+", ""), f"[{gaps}]+", " "))
+
+        return of
+
+    assert one_value(T.normalize_name, values) == one_value(words("a-z0-9", f"{T.WS}_\\-"), values)
+    expected = [" ".join(T.STREET_WORDS.get(w, w) for w in v.split(" ")) for v in one_value(words(r"a-z0-9_\p{L}\p{N}", T.WS), values)]
+    assert one_value(T.normalize_address, values) == expected
+    digits = one_value(lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"\P{Nd}", ""), values)
+    assert one_value(T.normalize_zip, values) == [d and d[:5].rjust(5, "0") for d in digits]
+
+
+def test_a_text_is_translated_before_any_expression(spark):
+    """Plain names need no regular expression: it is in the second branch only, and ZIP digits are taken once."""
+    from giftledger.functions import text as T
+
+    plan = spark.createDataFrame([("a",)], "v string").select(T.normalize_name("v").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" in plan and plan.index("translate(") < plan.index("regexp_replace(")
+    plan = spark.createDataFrame([("a",)], "v string").select(T.normalize_zip("v").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1

@@ -156,3 +156,18 @@ def test_keys_are_audited_with_one_shuffle_a_side(spark, staged_table, settings)
 
     text = plan(Q.key_audit(staged_table, staged_table.where("sub_id > '2'"), "sub_id", "a", "b", "c"))
     assert text.count("Exchange hashpartitioning") == 2 and text.count("Exchange") == 3  # and the one row of the result
+
+
+def test_generated_methods_of_staging_can_be_compiled(spark):
+    """The JVM never compiles a method above 8000 bytes: the view's expressions and staging's must not share one."""
+    from giftledger.plans import queries
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = queries._staged(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+        stages = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000
