@@ -148,8 +148,11 @@ def rebuild_identity(spark: SparkSession, staged: DataFrame, dim_table: str, unr
     """Resolve everything again and replace the whole dimension and review table, load dates that have gone included."""
     tb.ensure_table(spark, dim_table, DIM_DONORS)
     tb.ensure_table(spark, unresolved_table, UNRESOLVED)
-    rows = tb.replace_partitions(resolve_identity(staged, **choices), dim_table, emptied=None)
-    tb.replace_partitions(unresolved_rows(tb.read_table(spark, dim_table, DIM_DONORS)), unresolved_table, emptied=None)
+    # The dates the dimension has so far: there may be others now, which costs no more than a few files.
+    spread = {"dates": len(tb.load_dates(spark, dim_table)) or None, "by": "sub_id"}
+    rows = tb.replace_partitions(resolve_identity(staged, **choices), dim_table, emptied=None, **spread)
+    flagged = unresolved_rows(tb.read_table(spark, dim_table, DIM_DONORS))
+    tb.replace_partitions(flagged, unresolved_table, emptied=None, **spread)
     return rows
 
 

@@ -171,3 +171,12 @@ def test_generated_methods_of_staging_can_be_compiled(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert sizes and max(sizes) < 8000
+
+
+def test_stored_tables_of_few_dates_are_read_by_several_tasks(spark):
+    """The staging table that identity reads has three dates; each is dealt to several writers when it is large."""
+    from giftledger.plans import queries
+
+    raw = queries._raw(spark, "/root/testdata/sf0.1")
+    stored = queries._stored(raw.withColumn("MEMO_TEXT", F.sha2("SUB_ID", 256)), "dealt")
+    assert len(stored.inputFiles()) > 3
